@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scolaria.sources.tables import Tables
+from scolaria.sources.tables import Tables, broadcast_if_small
 
 # Natural key of the unknown student, key used where a dimension has no unknown row.
 UNKNOWN_GUID = "00000000-0000-0000-0000-000000000000"
@@ -74,35 +74,44 @@ def unknown_key_values(tables: Tables) -> dict[str, int]:
 def resolve_keys(frame: DataFrame, lookups: list[KeyLookup], tables: Tables, unknown: dict[str, int]) -> DataFrame:
     """Adds the surrogate key of every natural key; NULL and unmatched ones get the unknown key.
 
-    A natural key held twice by a dimension takes its largest surrogate key.  Sides are not forced
-    to broadcast: Spark does so by measured size, and splits hot keys of large ones.
+    A natural key held twice by a dimension takes its largest surrogate key.  Null-safe joins for the
+    reason given at ``_same_key``: a student with a third of the rows is split over many tasks.
     """
     for lookup in lookups:
-        dim = (
-            tables[lookup.dim]
-            .groupBy(F.col(lookup.dim_oid).cast("string").alias("_oid"))
-            .agg(F.max(lookup.dim_key).alias("_key"))
-        )
+        oid = F.col(lookup.dim_oid).cast("string")
+        dim = tables[lookup.dim].where(oid.isNotNull()).groupBy(oid.alias("_oid")).agg(F.max(lookup.dim_key).alias("_key"))
+        dim = broadcast_if_small(tables, lookup.dim, dim)
         fallback = F.lit(unknown.get(lookup.key_col, NO_KEY))
         frame = (
-            frame.join(dim, F.col(lookup.oid_col).cast("string") == F.col("_oid"), "left")
+            frame.join(dim, F.col(lookup.oid_col).cast("string").eqNullSafe(F.col("_oid")), "left")
             .withColumn(lookup.key_col, F.coalesce("_key", fallback))
             .drop("_oid", "_key")
         )
     return frame
 
 
+def _loaded_once(loaded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return loaded.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+
+
+def _same_key(keys: tuple[str, ...]) -> Column:
+    """NULL keys equal each other.
+
+    A null-safe join also shuffles its grouped side anew.  That matters: adaptive execution splits a
+    hot partition only where both join sides come straight from a shuffle, not from an aggregation.
+    """
+    return reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+
+
 def not_loaded(incoming: DataFrame, loaded: DataFrame, *keys: str) -> DataFrame:
-    """Incoming rows whose key is not loaded yet; NULL keys equal each other."""
-    same = reduce(lambda a, b: a & b, (incoming[k].eqNullSafe(loaded[k]) for k in keys))
-    return incoming.join(loaded, same, "left_anti")
+    """Incoming rows whose key is not loaded yet."""
+    return incoming.join(_loaded_once(loaded, keys), _same_key(keys), "left_anti")
 
 
 def load_counts(incoming: DataFrame, loaded: DataFrame, *keys: str) -> DataFrame:
     """(inserted, skipped) a load of ``incoming`` gives."""
-    seen = loaded.select(*keys).distinct().withColumn("_seen", F.lit(True))
-    same = reduce(lambda a, b: a & b, (incoming[k].eqNullSafe(seen[k]) for k in keys))
-    marked = incoming.join(seen, same, "left").select("_seen")
+    seen = _loaded_once(loaded, keys).withColumn("_seen", F.lit(True))
+    marked = incoming.join(seen, _same_key(keys), "left").select("_seen")
     return marked.agg(
         F.count_if(F.col("_seen").isNull()).alias("inserted"), F.count_if(F.col("_seen").isNotNull()).alias("skipped")
     )

@@ -72,7 +72,8 @@ def revenue_rows(report: DataFrame, tables: Tables, loaded: DataFrame, unknown:
     months_loaded = loaded.groupBy(F.col("SourceOid").alias("_source")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("MonthNumber").cast("int"))).alias("_loaded")
     )
-    wide = report.join(months_loaded, F.col("Oid").eqNullSafe(F.col("_source")), "left").withColumn(
+    report = report.withColumnRenamed("Oid", "SourceOid")
+    wide = report.join(months_loaded, F.col("SourceOid").eqNullSafe(F.col("_source")), "left").withColumn(
         "_loaded", F.coalesce("_loaded", F.lit(0))
     )
     months = detect_month_columns(report)
@@ -80,9 +81,7 @@ def revenue_rows(report: DataFrame, tables: Tables, loaded: DataFrame, unknown:
     pending = wide.where(F.col("_loaded").bitwiseAND(F.lit(every_month)) != every_month)
     keyed = _with_constants(resolve_keys(pending, WIDE_LOOKUPS, tables, unknown), unknown)
     ids = [*REVENUE_COLUMNS[:7], "SourceOid", "_loaded"]
-    tall = melt(keyed.withColumnRenamed("Oid", "SourceOid"), ids, months, "Month").withColumn(
-        "MonthNumber", F.col("Month").cast("int")
-    )
+    tall = melt(keyed, ids, months, "Month").withColumn("MonthNumber", F.col("Month").cast("int"))
     is_new = F.col("_loaded").bitwiseAND(F.call_function("shiftleft", F.lit(1), F.col("MonthNumber"))) == 0
     amount = comma_decimal(F.col("Cell"))
     return (

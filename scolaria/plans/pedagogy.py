@@ -12,7 +12,7 @@ from scolaria.operators.scores import (
 )
 from scolaria.operators.years import known_years, resolve_year
 from scolaria.plans.performance import avg_score, pass_rate
-from scolaria.sources.tables import Tables
+from scolaria.sources.tables import Tables, broadcast_if_small
 
 
 def score_stddev() -> Column:
@@ -36,8 +36,10 @@ def report_outcomes(tables: Tables, school_year=None, subject: str | None = None
     subjects = known_subjects(tables)
     if subject:
         subjects = subjects.where(F.col("subject") == F.lit(subject))
+    subjects = broadcast_if_small(tables, "DimContent", subjects)
     cells = scored(tables).where(known_report()).groupBy("EvaluationReportKey", "ContentKey").agg(*score_moments())
     years = known_years(tables).select(F.col("SchoolYearOid").alias("SchoolYearPeriodOid"), F.col("Description").alias("year_label"))
+    years = broadcast_if_small(tables, "DimSchoolYear", years)
     reports = student_reports(tables, resolve_year(tables, school_year)).join(years, "SchoolYearPeriodOid")
     return (
         cells.join(subjects, "ContentKey")

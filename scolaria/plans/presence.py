@@ -11,7 +11,7 @@ from scolaria.operators.attendance import (
 )
 from scolaria.operators.fanout import attended_and_scored
 from scolaria.operators.years import resolve_year
-from scolaria.sources.tables import Tables
+from scolaria.sources.tables import Tables, broadcast_if_small
 
 
 def attendance_kpis(tables: Tables, school_year=None) -> DataFrame:
@@ -60,7 +60,7 @@ def teacher_sessions_by_month(tables: Tables, school_year=None) -> DataFrame:
         .groupBy("DateKey", "TeacherKey")
         .agg(F.count(F.lit(1)).alias("sessions"), F.sum("Checks").alias("checks"), F.count("Checks").alias("checked"))
     )
-    months = per_day.join(known_dates(tables), "DateKey").groupBy(
+    months = per_day.join(broadcast_if_small(tables, "DimDate", known_dates(tables)), "DateKey").groupBy(
         F.col("MonthName").alias("month_name"), F.col("MonthNumber").alias("month"), F.col("YearNumber").alias("year")
     )
     sums = months.agg(

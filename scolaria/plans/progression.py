@@ -9,16 +9,17 @@ from scolaria.functions.rounding import half_up, mean, ratio, snap, stddev_from_
 from scolaria.operators.scores import merge_moments, scored_reports, scores_by
 from scolaria.operators.years import known_years
 from scolaria.plans.performance import avg_score, subject_totals
-from scolaria.sources.tables import Tables
+from scolaria.sources.tables import Tables, broadcast_if_small
 
 # Fixed value: change of the mean that counts as a trend.
 TREND_DELTA = 2
 
 
 def _years(tables: Tables) -> DataFrame:
-    return known_years(tables).select(
+    years = known_years(tables).select(
         "SchoolYearKey", F.col("SchoolYearOid").alias("SchoolYearPeriodOid"), F.col("Description").alias("year_label")
     )
+    return broadcast_if_small(tables, "DimSchoolYear", years)
 
 
 def _names(tables: Tables, *more: str) -> DataFrame:
@@ -89,6 +90,7 @@ def trends(tables: Tables, chronological: bool = False) -> DataFrame:
     rank = F.col("SchoolYearPeriodOid")
     if chronological:
         starts = tables["DimSchoolYear"].select(F.col("SchoolYearOid").alias("SchoolYearPeriodOid"), "StartDate")
+        starts = broadcast_if_small(tables, "DimSchoolYear", starts)
         per_year, rank = per_year.join(starts, "SchoolYearPeriodOid", "left"), F.col("StartDate")
     year = F.struct(rank.alias("rank"), F.col("SchoolYearPeriodOid").alias("oid"), "total", "n")
     per_student = (

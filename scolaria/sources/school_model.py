@@ -6,13 +6,14 @@ become scores and teacher attendance, events become student attendance and weath
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+import hashlib
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.sources.tables import ParquetTables
+from scolaria.sources.tables import LazyTables, ParquetTables
 
 
 def _oid(prefix: str, *parts: Column) -> Column:
@@ -35,24 +36,16 @@ def _day_of(number: Column) -> Column:
     return F.date_add(F.lit("2024-09-01").cast("date"), (number % 640).cast("int"))
 
 
-class SchoolModel(Mapping):
+class SchoolModel(LazyTables):
     """Table name -> lazy frame, derived from ``<sf_dir>/*.parquet``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
         self.spark = spark
         self.raw = ParquetTables(spark, sf_dir, ".parquet")
-        self._built: dict[str, DataFrame] = {}
 
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = _VIEWS[name](self)
-        return self._built[name]
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(_VIEWS)
-
-    def __len__(self) -> int:
-        return len(_VIEWS)
+    def open(self, name: str) -> DataFrame:
+        return _VIEWS[name](self)
 
     def _with_unknown(self, known: DataFrame, unknown: list) -> DataFrame:
         """The unknown member in front of the derived rows."""
@@ -77,8 +70,6 @@ class SchoolModel(Mapping):
 
 
 def _md5(text: str) -> str:
-    import hashlib
-
     return hashlib.md5(text.encode()).hexdigest()
 
 

@@ -22,18 +22,30 @@ TRANCHE_ID_COLUMNS = (
 )
 
 
-class ParquetTables(Mapping):
-    """``<root>/<table>`` parquet folders (or files named ``<table>.parquet``) as lazily opened frames."""
+# a frame of at most this many narrow rows (a key, an Oid, a label: some 100 bytes) may be broadcast
+BROADCAST_ROWS = 100_000
 
-    def __init__(self, spark: SparkSession, root: str, suffix: str = ""):
-        self.spark, self.root, self.suffix = spark, root.rstrip("/"), suffix
+
+class LazyTables(Mapping):
+    """Frames opened on first use; remembers which of them passed the broadcast size check."""
+
+    def __init__(self):
         self._open: dict[str, DataFrame] = {}
+        self._small: dict[str, bool] = {}
+
+    def open(self, name: str) -> DataFrame:
+        raise NotImplementedError
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
-            self._open[name] = self.spark.read.parquet(f"{self.root}/{name}{self.suffix}")
+            self._open[name] = self.open(name)
         return self._open[name]
 
+    def is_small(self, name: str) -> bool:
+        if name not in self._small:
+            self._small[name] = has_few_rows(self[name])
+        return self._small[name]
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._open)
 
@@ -41,6 +53,33 @@ class ParquetTables(Mapping):
         return len(self._open)
 
 
+class ParquetTables(LazyTables):
+    """``<root>/<table>`` parquet folders (or files named ``<table>.parquet``)."""
+
+    def __init__(self, spark: SparkSession, root: str, suffix: str = ""):
+        super().__init__()
+        self.spark, self.root, self.suffix = spark, root.rstrip("/"), suffix
+
+    def open(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}{self.suffix}")
+
+
+def has_few_rows(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the frame has at most ``rows`` rows; stops reading at the first row beyond."""
+    return frame.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(tables: Tables, name: str, narrow: DataFrame) -> DataFrame:
+    """``narrow``, derived from the table ``name`` without adding rows, as a broadcast side where the
+    row count of the table allows it.  Beyond that Spark joins by shuffle and splits hot partitions.
+
+    A dimension with few members (years, branches, services) must not be shuffle-joined: its few
+    keys would put a fact into as few partitions.
+    """
+    small = tables.is_small(name) if isinstance(tables, LazyTables) else has_few_rows(tables[name])
+    return F.broadcast(narrow) if small else narrow
+
+
 def quoted(name: str) -> str:
     """A column name safe in expressions, whatever blanks or brackets it holds."""
     return "`" + name.replace("`", "``") + "`"

@@ -1,0 +1,210 @@
+"""Plans that must hold when a key owns a third of the rows, and when dimensions are large."""
+
+import re
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from scolaria.operators import load, scores
+from scolaria.operators.keys import KeyLookup, not_loaded, resolve_keys
+from scolaria.operators.scores import report_scores
+from scolaria.plans import geography, pedagogy, performance, risk
+
+
+@contextmanager
+def settings(spark, **conf):
+    old = {k.replace("__", "."): spark.conf.get(k.replace("__", "."), None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k.replace("__", "."), v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@contextmanager
+def skew_limits(spark):
+    """Shuffle joins only, and a limit for hot partitions that fits test data."""
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__shuffle__partitions="16",
+    ):
+        yield
+
+
+def final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def hot(column, n):
+    """``n`` different values, and 0 for every third row."""
+    return F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(column % n + 1).cast("long")
+
+
+@pytest.fixture
+def skewed(spark, school, tmp_path):
+    """60 000 scores, a third of them in report 0; written out so that map tasks are many."""
+    facts = spark.range(0, 60000, 1, 12).select(
+        F.col("id").alias("FactKey"),
+        hot(F.xxhash64("id") % 100000 + 100000, 500).alias("EvaluationReportKey"),
+        (F.col("id") % 7 + 2).alias("ContentKey"),
+        (F.col("id") % 2000 / 100).cast("decimal(5,2)").alias("Average"),
+    )
+    path = str(tmp_path / "facts")
+    facts.write.parquet(path)
+    reports = spark.range(0, 501).select(
+        F.col("id").alias("EvaluationReportKey"), F.concat(F.lit("s"), F.col("id") % 50).alias("StudentOid"), F.lit("y1").alias("SchoolYearPeriodOid")
+    )
+    subjects = spark.range(1, 10).select(F.col("id").alias("ContentKey"), F.concat(F.lit("c"), F.col("id")).alias("Description"))
+    return {**school, "FactStudentEvaluation": spark.read.parquet(path), "DimEvaluationReport": reports, "DimContent": subjects}
+
+
+def test_hot_report_is_reduced_before_the_shuffle(spark, skewed):
+    with skew_limits(spark):
+        frame = report_scores(skewed).orderBy(F.desc("n")).limit(1)
+        top = frame.first()
+    assert top.EvaluationReportKey == 0 and top.n == 20000
+    plan = report_scores(skewed)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") == 2  # partial and final around the exchange
+
+
+def test_hot_report_is_split_in_the_row_join(spark, skewed):
+    with skew_limits(spark):
+        frame = performance.subject_totals(skewed)
+        plan = final_plan(frame)
+        total = frame.agg(F.sum("n")).first()[0]
+    assert "skew=true" in plan
+    assert total == 60000
+
+
+def without_broadcasts(monkeypatch):
+    from scolaria.sources import tables as source
+
+    monkeypatch.setattr(source.has_few_rows, "__defaults__", (0,))
+
+
+def test_hot_student_is_split_when_keys_are_resolved(spark, tmp_path, monkeypatch):
+    without_broadcasts(monkeypatch)
+    facts = spark.range(0, 60000, 1, 12).select(
+        F.when(F.col("id") % 3 != 0, F.concat(F.lit("s"), F.col("id") % 400)).alias("Student"),
+        F.repeat(F.md5(F.col("id").cast("string")), 2).alias("note"),
+    )
+    facts.write.parquet(str(tmp_path / "facts"))
+    students = spark.range(1, 400).select(F.col("id").alias("StudentKey"), F.concat(F.lit("s"), F.col("id")).alias("StudentOid"))
+    students.write.parquet(str(tmp_path / "students"))
+    tables = {"DimStudent": spark.read.parquet(str(tmp_path / "students"))}
+    lookup = [KeyLookup("Student", "StudentKey", "DimStudent", "StudentOid", "StudentKey")]
+    with skew_limits(spark):
+        resolved = resolve_keys(spark.read.parquet(str(tmp_path / "facts")), lookup, tables, {"StudentKey": 1})
+        frame = resolved.groupBy("StudentKey").agg(F.count("note").alias("n"))
+        plan = final_plan(frame)
+        got = {r.StudentKey: r.n for r in frame.collect()}
+    assert "skew=true" in plan
+    assert sum(got.values()) == 60000 and got[1] >= 20000
+
+
+def test_hot_source_is_split_in_the_incremental_filter(spark, tmp_path):
+    """A third of the batch are copies of one source row."""
+    batch = spark.range(0, 60000, 1, 12).select(
+        F.concat(F.lit("o"), hot(F.col("id"), 5000).cast("string")).alias("SourceOid"), F.repeat(F.md5(F.col("id").cast("string")), 2).alias("note")
+    )
+    batch.write.parquet(str(tmp_path / "batch"))
+    loaded = spark.range(1, 2000).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("SourceOid"))
+    loaded.write.parquet(str(tmp_path / "loaded"))
+    with skew_limits(spark):
+        incoming = spark.read.parquet(str(tmp_path / "batch"))
+        frame = not_loaded(incoming, spark.read.parquet(str(tmp_path / "loaded")), "SourceOid").agg(F.count("note").alias("n"))
+        plan = final_plan(frame)
+        expected = incoming.where("SourceOid = 'o0' OR cast(substr(SourceOid, 2) as int) >= 2000").count()
+        assert frame.first().n == expected
+    assert "skew=true" in plan
+
+
+def test_hot_source_is_split_in_the_wide_load(spark, school, tmp_path, monkeypatch):
+    without_broadcasts(monkeypatch)
+    cell = F.lpad((F.col("id") % 900).cast("string"), 60, "0")
+    report = spark.range(0, 60000, 1, 12).select(
+        F.concat(F.lit("o"), hot(F.col("id"), 5000).cast("string")).alias("Oid"),
+        *[F.lit(v).alias(c) for c, v in (("Student", "s2"), ("SchoolService", "v"), ("Branch", "b"), ("CurrentSchoolYear", "y1"))],
+        cell.alias("1"),
+        cell.alias("2"),
+    )
+    report.write.parquet(str(tmp_path / "report"))
+    loaded = spark.range(1, 2000).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("SourceOid"), F.lit(1).alias("MonthNumber"))
+    loaded.write.parquet(str(tmp_path / "loaded"))
+    for dim, key, oid in (("DimBranch", "BranchKey", "BranchOid"), ("DimService", "ServiceKey", "ServiceOid")):
+        spark.createDataFrame([(1, "b")], f"{key} long, {oid} string").write.parquet(str(tmp_path / dim))
+    tables = {**school, **{d: spark.read.parquet(str(tmp_path / d)) for d in ("DimBranch", "DimService")}}
+    unknown = dict.fromkeys(("StudentKey", "ServiceKey", "BranchKey", "SchoolYearKey", "DateKey", "ZoneKey", "ShuttleTypeKey"), -1)
+    with skew_limits(spark):
+        wide = spark.read.parquet(str(tmp_path / "report"))
+        rows_ = load.revenue_rows(wide, tables, spark.read.parquet(str(tmp_path / "loaded")), unknown)
+        frame = rows_.agg(F.count("MonthlyAmount").alias("n"))
+        plan = final_plan(frame)
+        skipped = wide.where("Oid <> 'o0' AND cast(substr(Oid, 2) as int) < 2000").count()
+        assert frame.first().n == 120000 - skipped
+    assert "skew=true" in plan
+
+
+def test_hot_student_is_split_in_the_report_join(spark, school, tmp_path):
+    """One student owns a third of the reports."""
+    reports = spark.range(0, 300000, 1, 12).select(
+        F.col("id").alias("EvaluationReportKey"),
+        F.concat(F.lit("s"), hot(F.col("id"), 900).cast("string")).alias("StudentOid"),
+        F.lit("y1").alias("SchoolYearPeriodOid"),
+    )
+    facts = spark.range(0, 300000, 1, 12).select(
+        F.col("id").alias("FactKey"),
+        F.col("id").alias("EvaluationReportKey"),
+        F.lit(2).alias("ContentKey"),
+        (F.xxhash64("id") % 1000 / 100).cast("decimal(5,2)").alias("Average"),
+    )
+    students = spark.range(0, 1000).select(F.col("id").alias("StudentKey"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("StudentOid"))
+    attendance = spark.range(0, 5000).select(
+        (F.col("id") % 1000).alias("StudentKey"), (F.col("id") % 3).cast("int").alias("Checks"), F.lit(0).alias("LateMinutes")
+    )
+    tables = dict(school)
+    for name, frame in (("DimEvaluationReport", reports), ("FactStudentEvaluation", facts), ("DimStudent", students), ("FactStudentAttendance", attendance)):
+        frame.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    with skew_limits(spark):
+        frame = pedagogy.presence_performance(tables).agg(F.count("presence_rate").alias("n"))
+        plan = final_plan(frame)
+        assert frame.first().n == 299999  # report 1 is the unknown one
+    assert "skew=true" in plan
+
+
+def test_results_do_not_depend_on_broadcasts(spark, school, monkeypatch):
+    queries = [pedagogy.outcomes_by_report, risk.risk_scores, geography.students_by_zone, performance.average_by_subject]
+    before = [q(school).collect() for q in queries]
+    without_broadcasts(monkeypatch)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        after = [q(school).collect() for q in queries]
+    assert before == after
+
+
+def test_scans_read_only_what_a_query_needs(spark, school, tmp_path):
+    root = str(tmp_path)
+    stored = {}
+    for name, frame in school.items():
+        frame.write.parquet(f"{root}/{name}")
+        stored[name] = spark.read.parquet(f"{root}/{name}")
+    plan = performance.performance_kpis(stored, "2")._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert sorted(schemas) == [
+        "EvaluationReportKey:bigint,Average:decimal(5,2)", "EvaluationReportKey:bigint,StudentOid:string,SchoolYearPeriodOid:string",
+    ]
+    assert "EqualTo(SchoolYearPeriodOid,y1)" in plan and "IsNotNull(Average)" in plan
+
+
+def test_moments_that_are_not_used_are_not_computed(school):
+    plan = scores.scores_by(school, "StudentOid").select("n")._jdf.queryExecution().executedPlan().toString()
+    assert "squares" not in plan and "lowest" not in plan
