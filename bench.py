@@ -2,9 +2,9 @@
 
     BENCH_SF_DIR   folder of the test tables (default /root/testdata/sf0.1)
     BENCH_CPUS     local cores (default 8)
-    BENCH_QUERIES  comma-separated keys (default: the named queries, the loads and the rollups, without
-                   the one-year variants, which are the same plans under a filter)
-    BENCH_REPEAT   warm runs, of which the best counts (default 2)
+    BENCH_QUERIES  comma-separated keys, or "all" (default: the named queries and the load steps; left out
+                   are the rollups over them and the one-year variants, the same plans under a filter)
+    BENCH_REPEAT   warm runs, of which the best counts (default 1)
     BENCH_DETAIL   file for cold times and, with BENCH_PRODUCT=1, the joined-product times
     BENCH_PRODUCT  also time the fan-out queries as plain joins
 """
@@ -19,11 +19,16 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks import product as joined  # noqa: E402
-from scolaria.plans.registry import BY_YEAR, all_queries  # noqa: E402
+from scolaria.plans.registry import BY_YEAR, FIXED, all_queries  # noqa: E402
 from scolaria.session import build_session  # noqa: E402
 from scolaria.sources.school_model import school_model  # noqa: E402
 
 
+HEADLINE = [
+    *FIXED, *BY_YEAR, "unpivot_revenue", "unpivot_tranche", "resolve_keys", "anti_revenue", "fact_service_revenue", "fact_service_tranche",
+]
+
+
 def timed(frame_of) -> float:
     start = time.perf_counter()
     frame_of().write.format("noop").mode("overwrite").save()
@@ -33,7 +38,7 @@ def timed(frame_of) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     spark = build_session(
         "scolaria-bench",
         f"local[{cpus}]",
@@ -41,9 +46,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
-    one_year = {f"{key}_year" for key in BY_YEAR}
     chosen = os.environ.get("BENCH_QUERIES")
-    keys = chosen.split(",") if chosen else [k for k in queries if k not in one_year]
+    keys = list(queries) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
     tables = school_model(spark, sf_dir)
     cold, warm = {}, {}
     for key in keys:

@@ -13,9 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.functions.parsing import comma_decimal
 from scolaria.operators.keys import KeyLookup, not_loaded, resolve_keys, unknown_key_values
-from scolaria.operators.reshape import detect_month_columns, melt, sum_tranches, unpivot_service_revenue
+from scolaria.operators.reshape import cell_amount, detect_month_columns, melt, sum_tranches, unpivot_service_revenue
 from scolaria.sources.tables import Tables, extract_service_report, extract_service_report_tranche
 
 REVENUE_TABLE = "FactStudentServiceRevenue"
@@ -83,9 +82,8 @@ def revenue_rows(report: DataFrame, tables: Tables, loaded: DataFrame, unknown:
     ids = [*REVENUE_COLUMNS[:7], "SourceOid", "_loaded"]
     tall = melt(keyed, ids, months, "Month").withColumn("MonthNumber", F.col("Month").cast("int"))
     is_new = F.col("_loaded").bitwiseAND(F.call_function("shiftleft", F.lit(1), F.col("MonthNumber"))) == 0
-    amount = comma_decimal(F.col("Cell"))
     return (
-        tall.where(is_new).withColumn("MonthlyAmount", amount).where(F.col("MonthlyAmount").isNotNull()).select(*REVENUE_COLUMNS)
+        tall.where(is_new).withColumn("MonthlyAmount", cell_amount(tall)).where(F.col("MonthlyAmount").isNotNull()).select(*REVENUE_COLUMNS)
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scolaria.functions.parsing import comma_decimal, lenient_double
+from scolaria.functions.parsing import comma_decimal, number, rounded
 from scolaria.sources.tables import quoted
 
 # Month columns.
@@ -68,15 +68,24 @@ def detect_amount_columns(frame: DataFrame) -> list[str]:
 
 
 def melt(frame: DataFrame, ids: list[str], values: list[str], name: str) -> DataFrame:
-    """Identifiers, column name and text value of every non-NULL cell; a narrow step."""
-    wide = frame.select(
-        *[F.col(quoted(c)).alias(c) for c in ids],
-        *[F.col(quoted(c)).cast("string").alias(c) for c in values],
-    )
+    """Identifiers, column name and value of every non-NULL cell; a narrow step.
+
+    Cells are doubles where all value columns are numeric, else text.
+    """
+    kinds = {c: frame.schema[c].dataType for c in values}
+    numeric = all(isinstance(kind, T.NumericType) for kind in kinds.values())
+    cell = lambda c: number(F.col(quoted(c)), kinds[c]) if numeric else F.col(quoted(c)).cast("string")
+    wide = frame.select(*[F.col(quoted(c)).alias(c) for c in ids], *[cell(c).alias(c) for c in values])
     tall = wide.unpivot([quoted(c) for c in ids], [quoted(c) for c in values], name, "Cell")
     return tall.where(F.col("Cell").isNotNull())
 
 
+def cell_amount(tall: DataFrame) -> Column:
+    """The cell of a melted frame as an amount with two decimals, NULL for text that is no number."""
+    cell = F.col("Cell")
+    return comma_decimal(cell) if isinstance(tall.schema["Cell"].dataType, T.StringType) else rounded(cell)
+
+
 def _renamed(ids: list[str]) -> list[Column]:
     return [F.col(c).alias(OID_NAMES[c]) for c in ids]
 
@@ -94,11 +103,9 @@ def unpivot_service_revenue(frame: DataFrame) -> DataFrame:
     months = detect_month_columns(frame)
     if not months:
         return _no_rows(frame, ids, "MonthNumber")
-    return (
-        melt(frame, ids, months, "Month")
-        .select(*_renamed(ids), F.col("Month").cast("int").alias("MonthNumber"), comma_decimal(F.col("Cell")).alias("Amount"))
-        .where(F.col("Amount").isNotNull())
-    )
+    tall = melt(frame, ids, months, "Month")
+    number_of = F.col("Month").cast("int").alias("MonthNumber")
+    return tall.select(*_renamed(ids), number_of, cell_amount(tall).alias("Amount")).where(F.col("Amount").isNotNull())
 
 
 def unpivot_service_tranche(frame: DataFrame, exclude_balances: bool = False) -> DataFrame:
@@ -108,11 +115,9 @@ def unpivot_service_tranche(frame: DataFrame, exclude_balances: bool = False) ->
     if not slices:
         return _no_rows(frame, ids, "SliceNumber")
     lookup = F.create_map(*[F.lit(v) for pair in slices.items() for v in pair])
-    return (
-        melt(frame, ids, list(slices), "TrancheName")
-        .select(*_renamed(ids), lookup[F.col("TrancheName")].alias("SliceNumber"), comma_decimal(F.col("Cell")).alias("Amount"))
-        .where(F.col("Amount").isNotNull())
-    )
+    tall = melt(frame, ids, list(slices), "TrancheName")
+    number_of = lookup[F.col("TrancheName")].alias("SliceNumber")
+    return tall.select(*_renamed(ids), number_of, cell_amount(tall).alias("Amount")).where(F.col("Amount").isNotNull())
 
 
 def revenue_cast_report(frame: DataFrame) -> DataFrame:
@@ -120,17 +125,17 @@ def revenue_cast_report(frame: DataFrame) -> DataFrame:
     cells = melt(frame, [], detect_month_columns(frame), "Month")
     return (
         cells.groupBy(F.col("Month").cast("int").alias("MonthNumber"))
-        .agg(F.count("Cell").alias("filled"), F.count(comma_decimal(F.col("Cell"))).alias("read"))
+        .agg(F.count("Cell").alias("filled"), F.count(cell_amount(cells)).alias("read"))
         .withColumn("dropped", F.col("filled") - F.col("read"))
     )
 
 
-def row_sum(columns: list[str]) -> Column:
-    """Sum across columns; NULL cells count 0, so a row of NULLs gives 0.0."""
-    cells = [F.coalesce(lenient_double(F.col(quoted(c))), F.lit(0.0)) for c in columns]
+def row_sum(frame: DataFrame, columns: list[str]) -> Column:
+    """Sum across numeric columns; NULL cells count 0, so a row of NULLs gives 0.0."""
+    cells = [F.coalesce(number(F.col(quoted(c)), frame.schema[c].dataType), F.lit(0.0)) for c in columns]
     return reduce(lambda a, b: a + b, cells, F.lit(0.0))
 
 
 def sum_tranches(frame: DataFrame) -> DataFrame:
     """Adds Amount, the sum of all tranche amounts of the row."""
-    return frame.withColumn("Amount", row_sum(detect_amount_columns(frame)))
+    return frame.withColumn("Amount", row_sum(frame, detect_amount_columns(frame)))

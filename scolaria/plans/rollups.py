@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scolaria.functions.rounding import half_up, ratio, share
+from scolaria.functions.rounding import half_up, mean, ratio, share
+from scolaria.operators.scores import known_subjects, subject_rows
+from scolaria.operators.years import resolve_year
 from scolaria.plans import geography, pedagogy, performance, periods, presence, progression, risk, schools, shared, weather
 from scolaria.sources.tables import Tables
 
@@ -86,17 +88,22 @@ def _side_by_side(parts: list[DataFrame]) -> DataFrame:
 
 
 def subject_extremes(tables: Tables, school_year=None) -> DataFrame:
-    """Best and weakest subject, and the range of all scores as text."""
-    rows = performance.average_by_subject(tables, school_year)
-    best = rows.agg(
-        F.min_by("subject", F.struct(-F.col("avg_score"), "subject")).alias("best_subject"),
-        F.max_by("subject", F.struct(-F.col("avg_score"), "subject")).alias("weakest_subject"),
+    """Best and weakest subject, and the range of all scores as text; scores of no known subject only
+    count for the range.  The fact is read once."""
+    score = F.col("Average")
+    by_key = subject_rows(tables, resolve_year(tables, school_year)).groupBy("ContentKey").agg(
+        F.count(score).alias("n"), F.sum(score).alias("total"), F.min(score).alias("lowest"), F.max(score).alias("highest")
     )
-    text = lambda c: F.col(c).cast("decimal(10,2)").cast("string")
-    kpis = performance.performance_kpis(tables, school_year).select(
-        F.concat(text("min_score"), F.lit(" – "), text("max_score"), F.lit(" / 20")).alias("score_range")
+    by_subject = by_key.join(known_subjects(tables), "ContentKey", "left").groupBy("subject").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("lowest").alias("lowest"), F.max("highest").alias("highest")
+    )
+    rank = F.when(F.col("subject").isNotNull(), F.struct(-mean(F.col("total"), F.col("n")), "subject"))
+    text = lambda c: c.cast("decimal(10,2)").cast("string")
+    return by_subject.agg(
+        F.min_by("subject", rank).alias("best_subject"),
+        F.max_by("subject", rank).alias("weakest_subject"),
+        F.concat(text(F.min("lowest")), F.lit(" – "), text(F.max("highest")), F.lit(" / 20")).alias("score_range"),
     )
-    return _side_by_side([best, kpis])
 
 
 def subject_bands(tables: Tables, school_year=None) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.functions.parsing import lenient_double
+from scolaria.functions.parsing import number
 
 Tables = Mapping[str, DataFrame]
 
@@ -100,8 +100,8 @@ def extract_service_report_tranche(tables: Tables) -> DataFrame:
     source = tables["StudentServiceReportTranche"]
     return source.select(
         *[
-            F.col(quoted(c)) if c in TRANCHE_ID_COLUMNS else lenient_double(F.col(quoted(c))).alias(c)
-            for c in source.columns
+            F.col(quoted(f.name)) if f.name in TRANCHE_ID_COLUMNS else number(F.col(quoted(f.name)), f.dataType).alias(f.name)
+            for f in source.schema.fields
         ]
     )
 

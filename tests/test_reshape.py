@@ -83,3 +83,14 @@ def test_row_sum_skips_balances_identifiers_and_nulls(spark):
     frame = spark.createDataFrame([("a", 3, None, 1.5, 2.0, 9.0, "7"), ("b", 4, None, None, None, 9.0, None)], schema)
     assert detect_amount_columns(frame) == ["TR1", "TR2"]
     assert rows(sum_tranches(frame).select("Oid", "Amount").orderBy("Oid")) == [("a", 3.5), ("b", 0.0)]
+
+
+def test_numeric_cells_need_no_parsing(spark):
+    from decimal import Decimal
+
+    schema = "Oid string, TR1 decimal(19,4), TR2 double"
+    frame = spark.createDataFrame([("a", Decimal("1.2350"), 2.5), ("b", None, float("nan")), ("c", Decimal("7"), None)], schema)
+    tall = unpivot_service_tranche(frame)
+    assert sorted((r.SourceOid, r.SliceNumber, r.Amount) for r in tall.collect()) == [("a", 1, 1.24), ("a", 2, 2.5), ("c", 1, 7.0)]
+    assert "RLIKE" not in tall._jdf.queryExecution().executedPlan().toString()
+    assert rows(sum_tranches(frame).select("Amount").orderBy("Oid")) == [(1.235 + 2.5,), (0.0,), (7.0,)]
