@@ -17,7 +17,7 @@ SETTINGS = {
 
 
 def build_session(app_name: str = "scolaria", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings above; ``conf`` keys use ``_`` for ``.`` only when quoted as kwargs."""
+    """A session with the settings above; pass further ones as ``**{"spark.x.y": "value"}``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

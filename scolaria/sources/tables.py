@@ -65,8 +65,12 @@ class ParquetTables(LazyTables):
 
 
 def has_few_rows(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame has at most ``rows`` rows; stops reading at the first row beyond."""
-    return frame.limit(rows + 1).count() <= rows
+    """Whether the frame has at most ``rows`` rows.
+
+    A plain count: parquet answers it from file footers, task by task, whereas a limit would send up
+    to ``rows`` rows of every partition to one task.
+    """
+    return frame.count() <= rows
 
 
 def broadcast_if_small(tables: Tables, name: str, narrow: DataFrame) -> DataFrame:

@@ -208,3 +208,27 @@ def test_scans_read_only_what_a_query_needs(spark, school, tmp_path):
 def test_moments_that_are_not_used_are_not_computed(school):
     plan = scores.scores_by(school, "StudentOid").select("n")._jdf.queryExecution().executedPlan().toString()
     assert "squares" not in plan and "lowest" not in plan
+
+
+def test_hot_subject_is_split_in_the_outcomes(spark, school, tmp_path, monkeypatch):
+    """A third of all scores are in one subject, and the subjects are too many to broadcast."""
+    without_broadcasts(monkeypatch)
+    facts = spark.range(0, 300000, 1, 12).select(
+        F.col("id").alias("FactKey"),
+        F.col("id").alias("EvaluationReportKey"),
+        (hot(F.xxhash64("id") % 5000 + 5000, 5000) + 2).alias("ContentKey"),
+        (F.xxhash64("id") % 1000 / 100).cast("decimal(5,2)").alias("Average"),
+    )
+    reports = spark.range(0, 300000).select(
+        F.col("id").alias("EvaluationReportKey"), F.concat(F.lit("s"), F.col("id") % 900).alias("StudentOid"), F.lit("y1").alias("SchoolYearPeriodOid")
+    )
+    subjects = spark.range(2, 5100).select(F.col("id").alias("ContentKey"), F.concat(F.lit("c"), F.col("id")).alias("Description"))
+    tables = dict(school)
+    for name, frame in (("FactStudentEvaluation", facts), ("DimEvaluationReport", reports), ("DimContent", subjects)):
+        frame.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    with skew_limits(spark):
+        frame = pedagogy.report_outcomes(tables).agg(F.count("avg_score").alias("n"))
+        plan = final_plan(frame)
+        assert frame.first().n == 299999
+    assert "skew=true" in plan
