@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.llm import line_dedup
+from scolaria.llm import line_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_shared_lines(table(spark, sf_dir, "documents")).select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return judged.select("doc.doc_id", *counts, F.col("rejected_by").isNull().alias("kept"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
+    "op7_quality_rules": op7_quality_rules,
 }

@@ -18,6 +18,37 @@ line_kept AS (
   FROM split_lines l LEFT JOIN shared_keys s ON l.line_key = s.line_key GROUP BY doc_id)
 """
 
+QUALITY = f"""
+WITH plain AS (
+  SELECT doc_id, coalesce(text, '') AS text, translate(coalesce(text, ''), {SPACE}, repeat(' ', 6)) AS spaced FROM documents),
+word_lists AS (SELECT doc_id, list_filter(string_split(spaced, ' '), lambda w: w <> '') AS words FROM plain),
+word_lines AS (
+  SELECT doc_id, count(*) AS n_word_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM plain) a WHERE trim(line, {SPACE}) <> '' GROUP BY doc_id),
+windows AS (
+  SELECT doc_id, place, array_to_string(words[place:place + 7], ' ') AS span
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS place FROM word_lists WHERE len(words) >= 8) a),
+repeated AS (
+  SELECT doc_id, count(DISTINCT word) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(place, place + 8)) AS word
+        FROM (SELECT doc_id, place, count(*) OVER (PARTITION BY doc_id, span) AS copies FROM windows) a WHERE copies > 1) b
+  GROUP BY doc_id),
+counted AS (
+  SELECT p.doc_id, len(words) AS n_words, length(replace(spaced, ' ', '')) AS word_chars,
+         length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_word_lines, 0) AS n_word_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         length(regexp_replace(text, '[^\\p{{L}}]+', '', 'g')) AS letters,
+         length(regexp_replace(text, '[^\\p{{Lu}}]+', '', 'g')) AS capitals, length(text) - length(replace(text, '!', '')) AS marks
+  FROM plain p JOIN word_lists w ON p.doc_id = w.doc_id LEFT JOIN word_lines l ON p.doc_id = l.doc_id
+       LEFT JOIN repeated r ON p.doc_id = r.doc_id),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_word_lines OR word_chars < 2 * n_words
+            OR word_chars > 20 * n_words OR 2 * capitals > letters OR 10 * marks > 3 * n_words OR 2 * letters < word_chars) AS kept
+FROM judged
+"""
+
 STATEMENTS: dict[str, str] = {
     "op4_line_dedup": f"WITH {LINES.format(documents='documents')} SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM line_kept",
+    "op7_quality_rules": QUALITY,
 }
