@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.llm import line_dedup, packing, quality_rules, token_store
+from scolaria.llm import line_dedup, packing, quality_rules, simhash, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,9 +35,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc.doc_id", *counts, F.col("rejected_by").isNull().alias("kept"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_token_store": op5_token_store,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op10_simhash": op10_simhash,
 }
