@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.llm import line_dedup, packing, quality_rules, simhash, token_store
+from scolaria.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc.doc_id", F.explode("matches").alias("match")).select("doc_id", "match.*")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_shared_lines(table(spark, sf_dir, "documents")).select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
@@ -40,6 +45,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_decontaminate": op3_decontaminate,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_store": op5_token_store,
     "op6_packing": op6_packing,
