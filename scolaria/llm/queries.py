@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_store
+from scolaria.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc.doc_id", *counts, F.col("rejected_by").isNull().alias("kept"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc.doc_id", "held_out", "score", "predicted")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
@@ -50,5 +55,6 @@ QUERIES: dict[str, Query] = {
     "op5_token_store": op5_token_store,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
