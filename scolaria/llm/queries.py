@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_store, toxicity
+from scolaria.llm import decontaminate, html_text, line_dedup, packing, quality_rules, simhash, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc.doc_id", "held_out", "score", "predicted")
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
@@ -56,5 +60,6 @@ QUERIES: dict[str, Query] = {
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
 }
