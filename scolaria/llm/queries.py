@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.llm import decontaminate, html_text, line_dedup, packing, quality_rules, simhash, token_store, toxicity
+from scolaria.llm import decontaminate, html_text, license_scan, line_dedup, packing, quality_rules, simhash, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc.doc_id", F.explode("matches").alias("match")).select("doc_id", "match.*")
@@ -54,6 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_license_scan": op2_license_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_store": op5_token_store,

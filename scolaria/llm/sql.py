@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from scolaria.llm.license_scan import PHRASES, TEMPLATES
+
 SPACE = "concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13))"
 UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
@@ -48,7 +50,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+NOT_WORD = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex(translate({text}, {UPPER}, {LOWER}), {NOT_WORD}), lambda w: w <> '')"
+
+
+def _phrase(phrase: str) -> str:
+    same = " AND ".join(f"words[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
+    return f"list_filter(range(1, len(words) + 1), lambda i: {same})"
+
+
+_SETS = ", ".join(f"('{label}', {sorted(set(sentence.split()))})" for label, sentences in TEMPLATES.items() for sentence in sentences)
+_PLACES = f"list_concat({', '.join(_phrase(phrase) for phrase in PHRASES)})"
+_BASE = ", ".join(f"CASE WHEN len({_phrase(phrase)}) > 0 THEN '{label}' END" for phrase, label in PHRASES.items())
+
+LICENSES = f"""
+WITH templates(label, wanted) AS (VALUES {_SETS}),
+word_lists AS (SELECT doc_id, {_words("coalesce(text, '')")} AS words FROM documents),
+base AS (
+  SELECT doc_id, len(words) AS n_words, {_PLACES} AS places, list_filter([{_BASE}], lambda l: l IS NOT NULL) AS base_list FROM word_lists),
+blocks AS (
+  SELECT doc_id, list_distinct({_words("line")}) AS block
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) a),
+met AS (
+  SELECT doc_id, label, len(list_intersect(block, wanted)) / len(wanted) AS share FROM blocks, templates
+  WHERE len(list_intersect(block, wanted)) >= 0.8 * len(wanted)),
+found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS best FROM met GROUP BY doc_id)
+SELECT b.doc_id, n_words, len(places) AS n_base, list_min(places) - 1 AS first_word, list_max(places) - 1 AS last_word,
+       array_to_string(list_sort(base_list), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(base_list, coalesce(labels, CAST([] AS VARCHAR[]))))), ',') AS labels,
+       CASE WHEN len(base_list) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
+FROM base b LEFT JOIN found f ON b.doc_id = f.doc_id
+"""
+
 STATEMENTS: dict[str, str] = {
+    "op2_license_scan": LICENSES,
     "op4_line_dedup": f"WITH {LINES.format(documents='documents')} SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM line_kept",
     "op7_quality_rules": QUALITY,
 }
