@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,19 +172,20 @@ def benchmark_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> It
         yield [(row[0], row[1]) for row in part.toLocalIterator()]
 
 
+def _matcher(index: Broadcast) -> Callable[[Column], Column]:
+    names = ("item_id", "similarity", "distance", "first_word", "n_words")
+
+    @F.pandas_udf(MATCHES)
+    def matched(texts: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(names, match)) for match in index.value.matches(text)] for text in texts], dtype=object)
+
+    return matched
+
+
 def matches_of(text: Column, docs: DataFrame, benchmark: DataFrame, similarity: float, radius: int, block_items: int) -> Column:
     """All matches of a text: one index, and one pass over the texts, for each block of items."""
     context = docs.sparkSession.sparkContext
-    found = []
-    for block in benchmark_blocks(benchmark, block_items):
-        index = context.broadcast(BenchmarkIndex(block, similarity, radius))
-
-        @F.pandas_udf(MATCHES)
-        def in_block(texts: pd.Series, index=index) -> pd.Series:
-            names = ("item_id", "similarity", "distance", "first_word", "n_words")
-            return pd.Series([[dict(zip(names, match)) for match in index.value.matches(t)] for t in texts], dtype=object)
-
-        found.append(in_block(text))
+    found = [_matcher(context.broadcast(BenchmarkIndex(block, similarity, radius)))(text) for block in benchmark_blocks(benchmark, block_items)]
     return found[0] if len(found) == 1 else F.concat(*found)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scolaria.llm.components import component_labels
-from scolaria.llm.shared import whole_rows, written
+from scolaria.llm.shared import document_columns, whole_rows, written
 
 SHINGLE = 3
 SEED = 42
@@ -206,10 +206,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile: int = TILE) -> DataFrame:
-    """The rows of docs of one document of each component: that with the smallest doc_id. Of rows that share that id one
-    stays, the one with the least text; a component without any doc_id is left as it is."""
-    kept = near_duplicates(docs, radius, shingle, seed, tile).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = whole_rows(docs)
-    chosen = rows.join(kept, F.col("doc.doc_id").cast("long") == F.col("kept_id"), "left_semi")
-    first = chosen.groupBy(F.col("doc.doc_id").alias("id")).agg(F.min_by("doc", F.struct(F.xxhash64("doc.text"), F.col("doc.text"))).alias("doc")).select("doc")
-    return first.unionByName(rows.where(F.col("doc.doc_id").isNull()))
+    """The rows of docs of one document of each component: that with the smallest doc_id. Of rows that share this id one
+    stays, with the text of the least hash. Rows without an id can't be told apart and stay."""
+    found = near_duplicates(docs, radius, shingle, seed, tile)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("id")).distinct()
+    rows = whole_rows(docs).select("doc", F.col("doc.doc_id").cast("long").alias("id"))
+    first = rows.join(kept, "id", "left_semi").groupBy("id").agg(F.min_by("doc", F.xxhash64("doc.text")).alias("doc"))
+    return document_columns(first.select("doc").unionByName(rows.where(F.col("id").isNull()).select("doc")))
