@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from scolaria.llm.token_ids import ChunkEncoder
+from scolaria.llm.token_ids import encoder_of
 from scolaria.llm.token_store import batches_of
 
 WINDOW = 2048
@@ -123,7 +123,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window
     """
 
     def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, streams = ChunkEncoder(tokenizer_path), SumOfSquares(window, max_open)
+        encoder, streams = encoder_of(tokenizer_path), SumOfSquares(window, max_open)
         sequence = TaskContext.get().partitionId() << 33
         names = [column.split()[0] for column in SCHEMA.split(", ")]
         rows: list[tuple] = []

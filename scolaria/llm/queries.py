@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.llm import decontaminate, html_text, license_scan, line_dedup, packing, quality_rules, simhash, token_store, toxicity
+from scolaria.llm import decontaminate, html_text, language_id, license_scan, line_dedup, packing, quality_rules, simhash, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_line_dedup": op4_line_dedup,

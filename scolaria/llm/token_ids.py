@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Sequence
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -12,7 +13,23 @@ import numpy as np
 #: A chunk is white space and what follows up to the next white space. No pre-token of either tokenizer reaches from a
 #: character that is no white space over to white space, so the ids of a text are those of its chunks, one after another.
 CHUNK = re.compile(r"[ \n]+[^ \n]*|[^ \n]+")
-MAX_CHUNKS = 1_000_000
+MAX_CHUNKS = 700_000
+JOINED = 2000  # chunks encoded as one text
+MARK = "\0"
+MARK_IN_VOCABULARY = "\u0100"  # how byte-level vocabularies write the byte 0
+
+
+class _Codes(dict):
+    """chunk -> number, a new one for each chunk asked for the first time; these lie in fresh until they are encoded."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        code = self[chunk] = len(self)
+        self.fresh.append(chunk)
+        return code
 
 
 class ChunkEncoder:
@@ -25,42 +42,63 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.max_chunks = max_chunks
+        drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
+        self.mark = f" {MARK} " if drops_space else MARK
+        own = self.tokenizer.encode(MARK, add_special_tokens=False)
+        holders = [token for token in self.tokenizer.get_vocab() if MARK_IN_VOCABULARY in token]
+        self.mark_id = own.ids[0] if len(own.ids) == 1 and {token.removesuffix("</w>") for token in holders} == {MARK_IN_VOCABULARY} else None
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.table = np.empty(0, np.uint32)
+        self.known = _Codes()
+        self.table = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
-    def _learn(self, chunks: list[str]) -> None:
-        coded = [found.ids for found in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        self.table = np.concatenate([self.table, np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum()))])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+    def _ids_of(self, chunks: list[str]) -> list[np.ndarray]:
+        """The ids of each chunk. Many are encoded as one text, with a mark between them, which costs far less than one by one.
+
+        No token but the mark's own holds the mark, so it leaves the chunks' ids as they are. Chunks that hold it,
+        begin with an apostrophe or end in white space are encoded alone: there the mark could part or join pre-tokens.
+        """
+        alone = [i for i, chunk in enumerate(chunks) if self.mark_id is None or MARK in chunk or chunk[0] == "'" or chunk[-1].isspace()]
+        skip = set(alone)
+        joined = [i for i in range(len(chunks)) if i not in skip]
+        coded: list[np.ndarray] = [np.empty(0, np.uint32)] * len(chunks)
+        for i, found in zip(alone, self.tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False)):
+            coded[i] = np.array(found.ids, np.uint32)
+        for first in range(0, len(joined), JOINED):
+            part = joined[first : first + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(chunks[i] for i in part)], add_special_tokens=False)[0].ids, np.uint32)
+            marks = np.flatnonzero(ids == self.mark_id)
+            for i, start, end in zip(part, [0, *(marks + 1).tolist()], [*marks.tolist(), len(ids)], strict=True):
+                coded[i] = ids[start:end]
+        return coded
+
+    def _learn(self) -> None:
+        coded = self._ids_of(self.known.fresh)
+        self.known.fresh = []
+        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
+        if ends[-1] > len(self.table):
+            self.table = np.concatenate([self.table[: self.starts[-1]], np.empty(2 * int(ends[-1]) - int(self.starts[-1]), np.uint32)])
+        self.table[self.starts[-1] : ends[-1]] = np.concatenate(coded)
+        self.starts = np.concatenate([self.starts, ends])
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids start, with the end. A null text is an empty one."""
         if len(self.known) > self.max_chunks:
             self._clear()
-        codes: list[int] = []
-        counts = np.empty(len(texts), np.int64)
-        fresh: list[str] = []
-        known = self.known
-        for i, text in enumerate(texts):
-            chunks = CHUNK.findall(text or "")
-            counts[i] = len(chunks)
-            for chunk in chunks:
-                code = known.get(chunk)
-                if code is None:
-                    code = known[chunk] = len(known)
-                    fresh.append(chunk)
-                codes.append(code)
-        if fresh:
-            self._learn(fresh)
-        code = np.array(codes, np.int64)
+        chunks = [CHUNK.findall(text or "") for text in texts]
+        of_text = np.concatenate([[0], np.cumsum([len(found) for found in chunks])]).astype(np.int64)
+        code = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chunks)), np.int64, int(of_text[-1]))
+        if self.known.fresh:
+            self._learn()
         lengths = self.starts[code + 1] - self.starts[code]
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.table[np.repeat(self.starts[code] - (ends - lengths), lengths) + np.arange(total)]
-        of_text = np.concatenate([[0], np.cumsum(counts)])
+        ids = self.table[np.repeat(self.starts[code] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
         return ids, np.concatenate([[0], ends])[of_text]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> ChunkEncoder:
+    """This process's encoder for a file: the tasks that one Python worker runs share what it has learned."""
+    return ChunkEncoder(path)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scolaria.llm.shared import shared_folder
-from scolaria.llm.token_ids import ChunkEncoder
+from scolaria.llm.token_ids import encoder_of
 
 MAGIC = b"WVM1"
 BLOCK = 512  # bits between two rank samples
@@ -148,11 +148,11 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, shard_tokens
 
     A row of the folder's table is one shard: part and shard give its place in the order, before the ids that part has
     ahead of it, payload the shard itself (shard_bytes). A document lies in one shard whole; a shard is closed at the
-    first document end past shard_tokens ids. Null ids come first; equal ids are ordered by text, null as empty.
+    first document end past shard_tokens ids. Null ids come first; equal ids are ordered by the text's hash, null as empty.
     """
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part = ChunkEncoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer_path), TaskContext.get().partitionId()
         shard, before = 0, 0
         doc_ids: list[int | None] = []
         held: list[np.ndarray] = []
@@ -178,8 +178,9 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, shard_tokens
             yield closed()
 
     folder = shared_folder(docs.sparkSession)
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(F.asc_nulls_first("doc_id"), "text")
-    ordered.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text").mapInPandas(
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text").asc()]  # a range's sample goes to the driver: no texts in it
+    texts.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInPandas(
         encode, "part int, shard int, before long, n_tokens long, payload binary"
     ).write.parquet(folder)
     return folder
