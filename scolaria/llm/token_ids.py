@@ -42,8 +42,9 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.max_chunks = max_chunks
-        drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
-        self.mark = f" {MARK} " if drops_space else MARK
+        self.drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
+        self.drops_case = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
+        self.mark = f" {MARK} " if self.drops_space else MARK
         own = self.tokenizer.encode(MARK, add_special_tokens=False)
         holders = [token for token in self.tokenizer.get_vocab() if MARK_IN_VOCABULARY in token]
         self.mark_id = own.ids[0] if len(own.ids) == 1 and {token.removesuffix("</w>") for token in holders} == {MARK_IN_VOCABULARY} else None
@@ -60,7 +61,7 @@ class ChunkEncoder:
         No token but the mark's own holds the mark, so it leaves the chunks' ids as they are. Chunks that hold it,
         begin with an apostrophe or end in white space are encoded alone: there the mark could part or join pre-tokens.
         """
-        alone = [i for i, chunk in enumerate(chunks) if self.mark_id is None or MARK in chunk or chunk[0] == "'" or chunk[-1].isspace()]
+        alone = [i for i, chunk in enumerate(chunks) if self.mark_id is None or MARK in chunk or chunk[:1] == "'" or not chunk or chunk[-1].isspace()]
         skip = set(alone)
         joined = [i for i in range(len(chunks)) if i not in skip]
         coded: list[np.ndarray] = [np.empty(0, np.uint32)] * len(chunks)
@@ -83,11 +84,18 @@ class ChunkEncoder:
         self.table[self.starts[-1] : ends[-1]] = np.concatenate(coded)
         self.starts = np.concatenate([self.starts, ends])
 
+    def _chunks(self, text: str | None) -> list[str]:
+        """A tokenizer that drops white space needs none in its chunks, and one that drops case no capitals."""
+        text = text or ""
+        if self.drops_case:
+            text = text.encode(errors="surrogatepass").lower().decode(errors="surrogatepass")  # A-Z only
+        return text.replace("\n", " ").split(" ") if self.drops_space else CHUNK.findall(text)
+
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids start, with the end. A null text is an empty one."""
         if len(self.known) > self.max_chunks:
             self._clear()
-        chunks = [CHUNK.findall(text or "") for text in texts]
+        chunks = [self._chunks(text) for text in texts]
         of_text = np.concatenate([[0], np.cumsum([len(found) for found in chunks])]).astype(np.int64)
         code = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chunks)), np.int64, int(of_text[-1]))
         if self.known.fresh:
