@@ -159,7 +159,8 @@ def links_within(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) ->
 
     Every fingerprint is laid under each of its radius + 1 segments. Rows of one segment value make tiles of about tile
     rows: one by itself where they are few, else tiles by number of ones and hash. Two tiles meet only if their numbers
-    of ones are within radius; then all their pairs are compared. Of each meeting a spanning forest is kept.
+    of ones are within radius; then all their pairs are compared. Of each large meeting a forest is kept: every member of
+    a component there, linked to its smallest.
     """
     laid = distinct.select(
         "fp",

@@ -46,7 +46,7 @@ def test_planted_passages_against_every_window():
     items = [(i, " ".join(r.choice(vocabulary) for _ in range(r.choice([3, 12, 20, 48, 60, 90])))) for i in range(60)]
     index = BenchmarkIndex(items)
     expected = found = 0
-    for k in range(250):
+    for k in range(120):
         item_id, item = r.choice(items)
         around = [r.choice(vocabulary) for _ in range(40)]
         text = " ".join(around) + ".\n" + ", ".join(near(item.split(), r, k)).upper() + "! " + " ".join(around)
@@ -56,7 +56,7 @@ def test_planted_passages_against_every_window():
         expected, found = expected + len(want), found + len(got)
         for i in got:
             assert got[i][0] == pytest.approx(want[i][0]) and got[i][2] == want[i][2]
-    assert expected > 100 and found == expected
+    assert expected > 40 and found == expected
 
 
 def test_blocks_find_all_within_radius():
