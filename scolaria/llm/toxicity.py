@@ -108,9 +108,10 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), max_rows: int = MAX_ROWS, bits: int = BITS) -> Model:
     """A model of labels (doc_id, toxic) over docs (doc_id, text), from max_rows labelled rows at most, not held out.
 
-    Rows without a label, a null id and the held-out fold are not learned from. The sample is the rows with the least
-    hash of (doc_id, text), in that order, so it is the same in every run. Features are made by all executors; one task
-    then reads the bounded sample. Without any row the model has no weights and a bias of 0.
+    Rows without a label, a null id and the held-out fold are not learned from; a doc_id with several labels has the
+    greatest. The sample is the max_rows labelled ids with the least hash, so it is the same in every run, and small
+    enough to be broadcast. Features are made by all executors; one task then reads those of the sample, in the order of
+    the hash. Without any row the model has no weights and a bias of 0.
     """
 
     def featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), m
             yield pd.DataFrame({"at": frame["at"], "toxic": frame["toxic"], "features": [features.of(text).astype("<i4").tobytes() for text in frame["text"]]})
 
     def learned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(frames)
+        rows = pd.concat([pd.DataFrame(columns=["at", "toxic", "features"]), *frames])
         sample = [(np.frombuffer(bytes(f), "<i4"), int(y)) for f, y in zip(rows["features"], rows["toxic"])]
         model = Ftrl(settings, bits)
         order = np.random.default_rng(7)
@@ -131,13 +132,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), m
         yield pd.DataFrame({"feature": left, "weight": weights[left]})
 
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(known, "doc_id").select(F.xxhash64("doc_id", "text").alias("at"), "text", "toxic")
-    ids = written(chosen.select("at").orderBy("at").limit(max_rows))
-    edge = ids.agg(F.max("at")).first()[0]
-    sample = written(chosen.where(F.col("at") <= F.lit(edge)).mapInPandas(featured, "at long, toxic int, features binary")) if edge is not None else None
-    if sample is None:
-        return Model(np.empty(0, np.int64), np.empty(0), 0.0, bits)
-    found = sample.repartition(1).sortWithinPartitions("at", "toxic").mapInPandas(learned, "feature long, weight double").toPandas().sort_values("feature")
+    ids = known.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic", F.xxhash64("doc_id").alias("at"))
+    ids = written(ids.orderBy("at", "doc_id").limit(max_rows))
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("at", "text", "toxic").mapInPandas(featured, "at long, toxic int, features binary")
+    found = sample.repartition(1).sortWithinPartitions("at", "features").mapInPandas(learned, "feature long, weight double").toPandas().sort_values("feature")
     bias = found.loc[found["feature"] == 1 << bits, "weight"]
     found = found[found["feature"] < 1 << bits]
     return Model(found["feature"].to_numpy(), found["weight"].to_numpy(), float(bias.iloc[0]) if len(bias) else 0.0, bits)
