@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from checks.model_sql import VIEWS
-from scolaria.plans.registry import AS_OF, FIRST_TERM, PREVIOUS_YEARS, SCHOOL, SCHOOL_YEAR, ZONE
+from scolaria.plans.registry import AS_OF, CALENDAR_YEARS, FIRST_TERM, PREVIOUS_YEARS, SCHOOL, SCHOOL_YEAR, STUDENT as STUDENT_OID, SUBJECT as SUBJECT_NAME, ZONE
 from scolaria.sources.seeds import CALENDAR, OTHER_SCHOOL, PERIOD_TYPES, SCHOOL_GROUPS
 
 DEC = "DECIMAL(28,12)"
@@ -45,11 +45,10 @@ def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-YEAR_OID = f"(SELECT SchoolYearOid FROM dim_school_year WHERE SchoolYearKey = {SCHOOL_YEAR})"
-
-
-def in_year(alias: str, year: bool) -> str:
-    return f" AND {alias}.SchoolYearPeriodOid = {YEAR_OID}" if year else ""
+def in_year(alias: str, year: bool | str) -> str:
+    """year: whether to take the registered year, or another SchoolYearKey."""
+    key = SCHOOL_YEAR if year is True else year
+    return f" AND {alias}.SchoolYearPeriodOid = (SELECT SchoolYearOid FROM dim_school_year WHERE SchoolYearKey = {key})" if year else ""
 
 
 SCORED = (
@@ -189,7 +188,7 @@ def _presence(y: bool) -> dict[str, str]:
     }
 
 
-def _daily(y: bool) -> str:
+def _daily(y: bool | str) -> str:
     absent = when("f.Checks = 0")
     return f"""SELECT d.FullDate AS full_date, count(*) AS total, {absent} AS absent_count, {pct(absent, 'count(*)')} AS absence_rate
         FROM fact_student_attendance f JOIN dim_date d ON f.DateKey = d.DateKey
@@ -308,8 +307,10 @@ def _geography(y: bool) -> dict[str, str]:
     }
 
 
-def _periods(y: bool) -> dict[str, str]:
-    label = f"(SELECT Description FROM dim_school_year WHERE SchoolYearKey = {SCHOOL_YEAR})" if y else "'2024-2025'"
+def _periods(y: bool | str) -> dict[str, str]:
+    wanted = f"(SELECT Description FROM dim_school_year WHERE SchoolYearKey = {SCHOOL_YEAR if y is True else y})" if y else "'2024-2025'"
+    # days of a year without a calendar are tagged by the default one; its holidays are none
+    label = f"(SELECT coalesce((SELECT any_value(year_label) FROM academic_calendar WHERE year_label = {wanted}), '2024-2025'))"
     tagged = f"""SELECT a.full_date, any_value(a.total) AS total, any_value(a.absence_rate) AS absence_rate,
         coalesce(min_by(c.type, c.ordinal), 'normal') AS period_type, coalesce(min_by(c.label, c.ordinal), 'Normal Period') AS period_label
         FROM ({_daily(y)}) a LEFT JOIN (SELECT * FROM academic_calendar WHERE year_label = {label}) c
@@ -325,7 +326,7 @@ def _periods(y: bool) -> dict[str, str]:
             {rate_mean('CASE WHEN a.full_date > h.last_day THEN a.absence_rate END')} AS post_avg_absence
             FROM academic_calendar h LEFT JOIN ({_daily(y)}) a
             ON (a.full_date BETWEEN h.first_day - 5 AND h.first_day - 1) OR (a.full_date BETWEEN h.last_day + 1 AND h.last_day + 5)
-            WHERE h.year_label = {label} AND h.type = 'holiday'
+            WHERE h.year_label = {wanted} AND h.type = 'holiday'
             GROUP BY h.ordinal, h.label, h.first_day, h.last_day ORDER BY h.ordinal""",
     }
 
@@ -375,6 +376,15 @@ def _etl() -> dict[str, str]:
         FROM student_service_report_tranche WHERE "{c}" IS NOT NULL"""
         for c in matching
     )
+    balance = tranches.split(" UNION ALL ")[1]  # Tranche_2_solde holds what TR2 does
+    first = "substr(Oid, 1, 1)"
+    dirty_cells = " UNION ALL ".join(
+        f"""SELECT Oid AS SourceOid, Student AS StudentOid, SchoolService AS ServiceOid, Branch AS BranchOid, CurrentSchoolYear AS SchoolYearOid,
+        {m} AS MonthNumber, CASE WHEN {first} IN ('0', '1', '2', '3') THEN NULL WHEN {first} = '4' THEN 0.12 WHEN {first} = '5' THEN 7.5
+        ELSE {number(f'"{m}"')} END AS Amount FROM {report} AND "{m}" IS NOT NULL"""
+        for m in months
+    )
+    dirty = f"SELECT * FROM ({dirty_cells}) WHERE Amount IS NOT NULL"
     row_sum = " + ".join(f'coalesce(CAST("{c}" AS DOUBLE), 0.0)' for c in money)
     keys = lambda student, service, branch, year, a: f"""  -- surrogate keys with fallback to the unknown member
         coalesce((SELECT max(StudentKey) FROM dim_student WHERE StudentOid = {a}.{student}), 1) AS StudentKey,
@@ -421,6 +431,26 @@ def _etl() -> dict[str, str]:
         "append_load": fact,
         "duplicate_keys": """SELECT EvaluationReportKey, ContentKey, count(*) AS copies FROM fact_student_evaluation
             GROUP BY EvaluationReportKey, ContentKey HAVING count(*) > 1""",
+        "duplicate_revenue_keys": f"""SELECT SourceOid, MonthNumber, 2 * count(*) AS copies FROM ({tall}) WHERE MonthNumber = 1
+            GROUP BY SourceOid, MonthNumber""",
+        "unpivot_dirty": dirty,
+        "dirty_cast_report": f"""SELECT MonthNumber, count(*) AS filled, count(Amount) AS "read", count(*) - count(Amount) AS dropped
+            FROM ({dirty_cells}) GROUP BY MonthNumber""",
+        "unpivot_balances": f"{tranches} UNION ALL {balance}",
+        "unpivot_no_balances": tranches,
+        "tranche_cast_report": " UNION ALL ".join(
+            f"""SELECT '{name}' AS TrancheName, count("{c}") AS filled, count("{c}") AS "read", 0 AS dropped FROM student_service_report_tranche
+            HAVING count("{c}") > 0"""
+            for name, c in [*((c, c) for c in matching), ("Tranche_2_solde", "TR2")]
+        ),
+        "key_copies": " UNION ALL ".join(
+            f"""SELECT '{name}' AS "table", '{key}' AS "key", (SELECT count(*) FROM (SELECT {key} FROM {view} WHERE {key} IS NOT NULL
+            GROUP BY {key} HAVING count(*) > 1)) AS held_twice"""
+            for name, view, key in [
+                ("DimStudent", "dim_student", "StudentKey"), ("DimStudent", "dim_student", "StudentOid"),
+                ("DimEvaluationReport", "dim_evaluation_report", "EvaluationReportKey"),
+            ]
+        ),
         "calendar_tag": """SELECT strftime(d.FullDate, '%Y-%m-%d') AS full_date, coalesce(min_by(c.type, c.ordinal), 'normal') AS period_type,
             coalesce(min_by(c.label, c.ordinal), 'Normal Period') AS period_label FROM dim_date d
             LEFT JOIN (SELECT * FROM academic_calendar WHERE year_label = '2024-2025') c ON d.FullDate BETWEEN c.first_day AND c.last_day
@@ -506,7 +536,12 @@ def _named() -> dict[str, str]:
     sections = (_performance, _presence, _weather, _pedagogy, _risk, _geography, _periods, _schools)
     plain = {k: v for section in sections for k, v in section(False).items()}
     one_year = {f"{k}_year": v for section in sections for k, v in section(True).items()}
-    return {**plain, **one_year, **_progression(), **_etl(), **_rollups()}
+    calendars = {f"{k}_{name}": v for name, year in CALENDAR_YEARS.items() for k, v in _periods(year).items()}
+    chosen = {
+        "a2_progression_student": f"SELECT p.* FROM a2_progression p JOIN dim_student s ON p.student_name = s.FullNameArab WHERE s.StudentOid = '{STUDENT_OID}'",
+        "a5_outcomes_subject": f"SELECT * FROM a5_outcomes WHERE subject = {text(SUBJECT_NAME)}",
+    }
+    return {**plain, **one_year, **calendars, **chosen, **_progression(), **_etl(), **_rollups()}
 
 
 def _with_views(sql: str, library: dict[str, str]) -> str:

@@ -22,6 +22,11 @@ def _weighted(total, weight):
     return total * weight.cast("decimal(18,0)")
 
 
+def _product(rows, weight):
+    """Row counts multiplied as decimals: two hot sides of one student exceed a bigint."""
+    return rows.cast("decimal(19,0)") * weight.cast("decimal(19,0)")
+
+
 def exposed_students(students: DataFrame, tables: Tables, year_oid: str | None = None) -> DataFrame:
     """Students left-joined to both sides, with the weighted sums of the product.
 
@@ -35,11 +40,11 @@ def exposed_students(students: DataFrame, tables: Tables, year_oid: str | None =
     eval_weight = F.greatest(F.coalesce("joined", zero), F.lit(1))
     return joined.select(
         *students.columns,
-        (F.coalesce("records", zero) * eval_weight).alias("att_rows"),
-        (F.coalesce("absent", zero) * eval_weight).alias("absent_rows"),
-        (F.coalesce("late", zero) * eval_weight).alias("late_rows"),
-        (F.coalesce("n", zero) * att_weight).alias("eval_rows"),
-        (F.coalesce("passed", zero) * att_weight).alias("passed_rows"),
+        _product(F.coalesce("records", zero), eval_weight).alias("att_rows"),
+        _product(F.coalesce("absent", zero), eval_weight).alias("absent_rows"),
+        _product(F.coalesce("late", zero), eval_weight).alias("late_rows"),
+        _product(F.coalesce("n", zero), att_weight).alias("eval_rows"),
+        _product(F.coalesce("passed", zero), att_weight).alias("passed_rows"),
         _weighted(F.col("total"), att_weight).alias("score_rows"),
     )
 
@@ -74,7 +79,7 @@ def attended_and_scored(students: DataFrame, tables: Tables, year_oid: str | Non
     n, records = F.col("n"), F.col("records")
     return joined.select(
         *students.columns,
-        (records * n).alias("pair_rows"),
-        (F.col("absent") * n).alias("absent_rows"),
+        _product(records, n).alias("pair_rows"),
+        _product(F.col("absent"), n).alias("absent_rows"),
         _weighted(F.col("total"), records).alias("score_rows"),
     )

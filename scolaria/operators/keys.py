@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +38,18 @@ class KeyLookup:
     dim_key: str
 
 
+NO_SUCH_TABLE = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
+
+
 def _find(tables: Tables, name: str) -> DataFrame | None:
+    """The table, or None where there is no such table. Any other fault is raised: a passing one must not become a key."""
     try:
         return tables[name]
-    except Exception:  # a table that cannot be opened has no unknown row
+    except KeyError:
+        return None
+    except AnalysisException as fault:
+        if fault.getCondition() not in NO_SUCH_TABLE:
+            raise
         return None
 
 
@@ -74,16 +83,17 @@ def unknown_key_values(tables: Tables) -> dict[str, int]:
 def resolve_keys(frame: DataFrame, lookups: list[KeyLookup], tables: Tables, unknown: dict[str, int]) -> DataFrame:
     """Adds the surrogate key of every natural key; NULL and unmatched ones get the unknown key.
 
-    A natural key held twice by a dimension takes its largest surrogate key.  Null-safe joins for the
+    A natural key held twice by a dimension takes its largest surrogate key.  Natural keys are GUIDs, so
+    case does not count (the warehouse's collation ignores it too).  Null-safe joins for the
     reason given at ``_same_key``: a student with a third of the rows is split over many tasks.
     """
     for lookup in lookups:
-        oid = F.col(lookup.dim_oid).cast("string")
+        oid = F.lower(F.col(lookup.dim_oid).cast("string"))
         dim = tables[lookup.dim].where(oid.isNotNull()).groupBy(oid.alias("_oid")).agg(F.max(lookup.dim_key).alias("_key"))
         dim = broadcast_if_small(tables, lookup.dim, dim)
         fallback = F.lit(unknown.get(lookup.key_col, NO_KEY))
         frame = (
-            frame.join(dim, F.col(lookup.oid_col).cast("string").eqNullSafe(F.col("_oid")), "left")
+            frame.join(dim, F.lower(F.col(lookup.oid_col).cast("string")).eqNullSafe(F.col("_oid")), "left")
             .withColumn(lookup.key_col, F.coalesce("_key", fallback))
             .drop("_oid", "_key")
         )
@@ -120,3 +130,17 @@ def load_counts(incoming: DataFrame, loaded: DataFrame, *keys: str) -> DataFrame
 def duplicate_keys(frame: DataFrame, *keys: str) -> DataFrame:
     """Keys held by more than one row, with their row count; loads do not remove them."""
     return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+
+
+# Columns that the queries take to identify a row of their dimension.
+UNIQUE_KEYS = [("DimStudent", "StudentKey"), ("DimStudent", "StudentOid"), ("DimEvaluationReport", "EvaluationReportKey")]
+
+
+def dimension_key_copies(tables: Tables) -> DataFrame:
+    """table, key, values held by more than one row: all 0 where the queries' assumption holds. NULL keys don't count."""
+
+    def one(table: str, key: str) -> DataFrame:
+        twice = duplicate_keys(tables[table].where(F.col(key).isNotNull()), key)
+        return twice.agg(F.count(F.lit(1)).alias("held_twice")).select(F.lit(table).alias("table"), F.lit(key).alias("key"), "held_twice")
+
+    return reduce(DataFrame.unionAll, [one(table, key) for table, key in UNIQUE_KEYS])

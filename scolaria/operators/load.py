@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scolaria.operators.keys import KeyLookup, not_loaded, resolve_keys, unknown_key_values
-from scolaria.operators.reshape import cell_amount, detect_month_columns, melt, sum_tranches, unpivot_service_revenue
+from scolaria.operators.reshape import cell_amount, detect_month_columns, filled_cells, melt, sum_tranches
 from scolaria.sources.tables import Tables, extract_service_report, extract_service_report_tranche
 
 REVENUE_TABLE = "FactStudentServiceRevenue"
@@ -62,8 +62,10 @@ def revenue_rows_from_tall(tall: DataFrame, tables: Tables, loaded: DataFrame, u
     return _with_constants(rows.withColumnRenamed("Amount", "MonthlyAmount"), unknown).select(*REVENUE_COLUMNS)
 
 
-def revenue_rows(report: DataFrame, tables: Tables, loaded: DataFrame, unknown: dict[str, int]) -> DataFrame:
-    """The same fact rows straight from the wide report.
+def revenue_rows(
+    report: DataFrame, tables: Tables, loaded: DataFrame, unknown: dict[str, int], offered: Observation | None = None
+) -> DataFrame:
+    """The same fact rows straight from the wide report; ``offered`` observes the rows its unpivot has.
 
     All joins run on the wide rows, before the unpivot makes up to twelve of each.  The loaded
     months of a report travel as one bit mask, so the target is reduced to a row per report first.
@@ -76,6 +78,8 @@ def revenue_rows(report: DataFrame, tables: Tables, loaded: DataFrame, unknown:
         "_loaded", F.coalesce("_loaded", F.lit(0))
     )
     months = detect_month_columns(report)
+    if offered is not None:
+        wide = wide.observe(offered, F.coalesce(F.sum(filled_cells(report, months)), F.lit(0)).alias("rows"))
     every_month = sum(1 << int(m) for m in months)
     pending = wide.where(F.col("_loaded").bitwiseAND(F.lit(every_month)) != every_month)
     keyed = _with_constants(resolve_keys(pending, WIDE_LOOKUPS, tables, unknown), unknown)
@@ -87,8 +91,12 @@ def revenue_rows(report: DataFrame, tables: Tables, loaded: DataFrame, unknown:
     )
 
 
-def tranche_rows(raw: DataFrame, tables: Tables, loaded: DataFrame, unknown: dict[str, int]) -> DataFrame:
+def tranche_rows(
+    raw: DataFrame, tables: Tables, loaded: DataFrame, unknown: dict[str, int], offered: Observation | None = None
+) -> DataFrame:
     """Fact rows of the tranche source: drop loaded reports, resolve, sum the amounts of the row."""
+    if offered is not None:
+        raw = raw.observe(offered, F.count(F.lit(1)).alias("rows"))
     new = not_loaded(raw.withColumnRenamed("Oid", "SourceOid"), loaded, *TRANCHE_KEY)
     rows = sum_tranches(resolve_keys(new, WIDE_LOOKUPS, tables, unknown))
     order = F.col("Order") if "Order" in raw.columns else F.lit(0)
@@ -111,34 +119,35 @@ def append_jdbc(frame: DataFrame, url: str, table: str, batchsize: int = 500, **
 
 
 def loaded_keys(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Business keys in a target folder; no rows while the folder does not exist."""
+    """Business keys in a target folder; no rows while the folder does not exist, or holds no file of a finished load."""
     types = {"SourceOid": "string", "MonthNumber": "int"}
+    schema = ", ".join(f"{k} {types[k]}" for k in keys)
     try:
-        return spark.read.parquet(path).select(*keys)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ", ".join(f"{k} {types[k]}" for k in keys))
+        return spark.createDataFrame([], schema)
 
 
 def load_service_revenue(spark: SparkSession, tables: Tables, root: str) -> LoadResult:
     """Report -> FactStudentServiceRevenue under ``root``."""
     path = f"{root}/{REVENUE_TABLE}"
     report = extract_service_report(tables)
-    rows = revenue_rows(report, tables, loaded_keys(spark, path, REVENUE_KEY), unknown_key_values(tables))
-    offered = unpivot_service_revenue(report).count()
+    offered = Observation() if detect_month_columns(report) else None  # without months the plan is empty, and observes nothing
+    rows = revenue_rows(report, tables, loaded_keys(spark, path, REVENUE_KEY), unknown_key_values(tables), offered)
     inserted = append_rows(rows, path)
-    return LoadResult(REVENUE_TABLE, inserted, offered - inserted)
+    return LoadResult(REVENUE_TABLE, inserted, (offered.get["rows"] if offered else 0) - inserted)
 
 
 def load_service_tranche(spark: SparkSession, tables: Tables, root: str) -> LoadResult:
     """Tranche source -> FactStudentServiceTranche under ``root``."""
     path = f"{root}/{TRANCHE_TABLE}"
     raw = extract_service_report_tranche(tables)
-    rows = tranche_rows(raw, tables, loaded_keys(spark, path, TRANCHE_KEY), unknown_key_values(tables))
-    offered = raw.count()
+    offered = Observation()
+    rows = tranche_rows(raw, tables, loaded_keys(spark, path, TRANCHE_KEY), unknown_key_values(tables), offered)
     inserted = append_rows(rows, path)
-    return LoadResult(TRANCHE_TABLE, inserted, offered - inserted)
+    return LoadResult(TRANCHE_TABLE, inserted, offered.get["rows"] - inserted)
 
 
 def load_all(spark: SparkSession, tables: Tables, root: str) -> list[LoadResult]:

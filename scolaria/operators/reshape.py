@@ -70,8 +70,11 @@ def detect_amount_columns(frame: DataFrame) -> list[str]:
 def melt(frame: DataFrame, ids: list[str], values: list[str], name: str) -> DataFrame:
     """Identifiers, column name and value of every non-NULL cell; a narrow step.
 
-    Cells are doubles where all value columns are numeric, else text.
+    Cells are doubles where all value columns are numeric, else text.  No value columns give no rows.
     """
+    if not values:
+        nothing = F.lit(None).cast("string")
+        return frame.select(*[F.col(quoted(c)).alias(c) for c in ids], nothing.alias(name), nothing.alias("Cell")).where(F.lit(False))
     kinds = {c: frame.schema[c].dataType for c in values}
     numeric = all(isinstance(kind, T.NumericType) for kind in kinds.values())
     cell = lambda c: number(F.col(quoted(c)), kinds[c]) if numeric else F.col(quoted(c)).cast("string")
@@ -86,6 +89,14 @@ def cell_amount(tall: DataFrame) -> Column:
     return comma_decimal(cell) if isinstance(tall.schema["Cell"].dataType, T.StringType) else rounded(cell)
 
 
+def filled_cells(frame: DataFrame, values: list[str]) -> Column:
+    """How many of the row's cells ``melt`` and ``cell_amount`` turn into an amount."""
+    kinds = {c: frame.schema[c].dataType for c in values}
+    numeric = all(isinstance(kind, T.NumericType) for kind in kinds.values())
+    amount = lambda c: rounded(number(F.col(quoted(c)), kinds[c])) if numeric else comma_decimal(F.col(quoted(c)).cast("string"))
+    return reduce(lambda a, b: a + b, [amount(c).isNotNull().cast("bigint") for c in values], F.lit(0).cast("bigint"))
+
+
 def _renamed(ids: list[str]) -> list[Column]:
     return [F.col(c).alias(OID_NAMES[c]) for c in ids]
 
@@ -130,6 +141,16 @@ def revenue_cast_report(frame: DataFrame) -> DataFrame:
     )
 
 
+def tranche_cast_report(frame: DataFrame, exclude_balances: bool = False) -> DataFrame:
+    """The same per tranche column."""
+    cells = melt(frame, [], list(detect_tranche_columns(frame, exclude_balances)), "TrancheName")
+    return (
+        cells.groupBy("TrancheName")
+        .agg(F.count("Cell").alias("filled"), F.count(cell_amount(cells)).alias("read"))
+        .withColumn("dropped", F.col("filled") - F.col("read"))
+    )
+
+
 def row_sum(frame: DataFrame, columns: list[str]) -> Column:
     """Sum across numeric columns; NULL cells count 0, so a row of NULLs gives 0.0."""
     cells = [F.coalesce(number(F.col(quoted(c)), frame.schema[c].dataType), F.lit(0.0)) for c in columns]

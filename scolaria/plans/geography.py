@@ -26,12 +26,12 @@ def students_by_zone(tables: Tables, school_year=None) -> DataFrame:
 
 def governorate_summary(tables: Tables, school_year=None) -> DataFrame:
     """Students, absence and late rate per raw governorate; NULL is reported as Unknown."""
-    students = tables["DimStudent"].where(F.col("StudentOid").isNotNull()).select("StudentKey", "Governorate")
+    students = tables["DimStudent"].where(F.col("StudentOid").isNotNull()).select("StudentKey", "StudentOid", "Governorate")
     sums = (
         students.join(attendance_by_student(tables, resolve_year(tables, school_year)), "StudentKey", "left")
         .groupBy("Governorate")
         .agg(
-            F.count(F.lit(1)).alias("student_count"),
+            F.count_distinct("StudentOid").alias("student_count"),
             *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("records", "absent", "late")],
         )
     )

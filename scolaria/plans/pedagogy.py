@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scolaria.functions.rounding import half_up, mean, percent, stddev_from_moments
 from scolaria.operators.attendance import attendance_by_student
 from scolaria.operators.scores import (
-    known_subjects, merge_moments, report_scores, score_moments, scored, scored_reports, student_reports,
+    known_subjects, report_scores, score_moments, scored, scored_reports, student_reports,
 )
 from scolaria.operators.years import known_years, resolve_year
 from scolaria.plans.performance import avg_score, pass_rate
@@ -30,22 +30,23 @@ def known_report() -> Column:
 def report_outcomes(tables: Tables, school_year=None, subject: str | None = None) -> DataFrame:
     """Results per report, subject and year, unsorted.
 
-    The fact is combined per (report, subject key) before any join, so neither a hot report nor a
-    hot subject reaches a join; the report join comes last and its partitioning serves the grouping.
+    Subjects are joined first, so a chosen subject cuts the fact before it is shuffled; a subject table
+    too large to broadcast meets it in a join that adaptive execution splits.  The report join comes
+    last and its partitioning serves the grouping.
     """
     subjects = known_subjects(tables)
     if subject:
         subjects = subjects.where(F.col("subject") == F.lit(subject))
     subjects = broadcast_if_small(tables, "DimContent", subjects)
-    cells = scored(tables).where(known_report()).groupBy("EvaluationReportKey", "ContentKey").agg(*score_moments())
+    facts = scored(tables).where(known_report()).select("EvaluationReportKey", "ContentKey", "Average")
     years = known_years(tables).select(F.col("SchoolYearOid").alias("SchoolYearPeriodOid"), F.col("Description").alias("year_label"))
     years = broadcast_if_small(tables, "DimSchoolYear", years)
     reports = student_reports(tables, resolve_year(tables, school_year)).join(years, "SchoolYearPeriodOid")
     return (
-        cells.join(subjects, "ContentKey")
-        .join(reports.select("EvaluationReportKey", "year_label"), "EvaluationReportKey")
+        facts.join(subjects, "ContentKey")
+        .join(reports.select("EvaluationReportKey", "StudentOid", "year_label"), "EvaluationReportKey")
         .groupBy("EvaluationReportKey", "subject", "year_label")
-        .agg(*merge_moments())
+        .agg(*score_moments(), F.count_distinct("StudentOid").alias("student_count"))
         .select(
             "EvaluationReportKey",
             report_name(),
@@ -53,7 +54,7 @@ def report_outcomes(tables: Tables, school_year=None, subject: str | None = None
             "year_label",
             avg_score(),
             score_stddev(),
-            F.lit(1).cast("bigint").alias("student_count"),
+            "student_count",
             pass_rate(),
         )
     )

@@ -121,17 +121,19 @@ def regression_detection(tables: Tables, top: int = 15, chronological: bool = Fa
 
 
 def semester_comparison(tables: Tables) -> DataFrame:
-    """Mean score of every report; a report belongs to one student, so it counts one."""
+    """Mean score of every report, and its students: one, unless the dimension holds a report twice."""
     return (
         scored_reports(tables)
         .where(F.col("EvaluationReportKey") != 1)
         .join(_years(tables), "SchoolYearPeriodOid")
+        .groupBy("EvaluationReportKey", "year_label")
+        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.count_distinct("StudentOid").alias("student_count"))
         .select(
             "EvaluationReportKey",
             "year_label",
             F.col("EvaluationReportKey").cast("string").alias("report_name"),
             mean(F.col("total"), F.col("n")).alias("avg_score"),
-            F.lit(1).cast("bigint").alias("student_count"),
+            "student_count",
         )
         .orderBy("year_label", "EvaluationReportKey")
         .drop("EvaluationReportKey")

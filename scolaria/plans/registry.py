@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+import hashlib
 from collections.abc import Callable
 from functools import partial
 
@@ -16,6 +14,7 @@ from scolaria.functions.schools import normalize_school
 from scolaria.operators import keys, load, reshape
 from scolaria.operators.periods import tag_periods
 from scolaria.plans import geography, pedagogy, performance, periods, presence, progression, risk, rollups, schools, shared, weather
+from scolaria.session import shared_folder
 from scolaria.sources import tables as source
 from scolaria.sources.tables import Tables
 from scolaria.sources.weather import parse_weather, weather_days
@@ -27,6 +26,9 @@ AS_OF = "2025-01-15"
 ZONE = "NATION_7"
 SCHOOL = "SLS Leaders School"
 SCHOOL_YEAR = "7"
+CALENDAR_YEARS = {"next": "8", "none": "6"}  # a year with a calendar of its own, and one without any
+STUDENT = hashlib.md5(b"st42").hexdigest()
+SUBJECT = "ECONOMY ANODIZED STEEL"
 FIRST_TERM = 6  # months 1..6 count as loaded in the incremental-load queries
 PREVIOUS_YEARS = "2024-09-01"  # school years that start earlier count as loaded
 
@@ -106,17 +108,11 @@ def _duplicates(t: Tables) -> DataFrame:
     return keys.duplicate_keys(t["FactStudentEvaluation"], "EvaluationReportKey", "ContentKey")
 
 
-def scratch_folder(spark) -> str:
-    """A new folder under the cluster's shared checkpoint folder; a local one where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return os.path.join(root or tempfile.mkdtemp(prefix="scolaria-"), f"load-{uuid.uuid4().hex}")
-
-
 def _append_load(t: Tables) -> DataFrame:
     """Two loads into a new folder, the second over all rows; what the folder then holds."""
     tall = _tall(t)
     spark = tall.sparkSession
-    path = scratch_folder(spark)
+    path = shared_folder(spark)
     unknown = keys.unknown_key_values(t)
     first = tall.where(F.col("MonthNumber") <= FIRST_TERM)
     none = load.loaded_keys(spark, path, load.REVENUE_KEY)
@@ -126,6 +122,28 @@ def _append_load(t: Tables) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _balances(t: Tables) -> DataFrame:
+    """The tranche source with a balance column whose name is that of a tranche."""
+    return t["StudentServiceReportTranche"].withColumn("Tranche_2_solde", F.col("TR2"))
+
+
+def _dirty(t: Tables) -> DataFrame:
+    """The revenue source with cells that are no clean number: words, thousands, NaN, half cents, by the first digit of Oid."""
+    report = source.extract_service_report(t)
+    digit = F.substring("Oid", 1, 1)
+    marred = lambda cell: (
+        F.when(digit == "0", F.lit("abc")).when(digit == "1", F.concat(F.lit("1 "), cell)).when(digit == "2", F.lit("NaN"))
+        .when(digit == "3", F.concat(F.lit("1."), cell)).when(digit == "4", F.lit("0,125")).when(digit == "5", F.lit(" 7,5 ")).otherwise(cell)
+    )
+    return report.withColumns({m: F.when(F.col(f"`{m}`").isNotNull(), marred(F.col(f"`{m}`"))) for m in reshape.detect_month_columns(report)})
+
+
+def _copied(t: Tables) -> DataFrame:
+    """The revenue batch with every row of the first month twice."""
+    tall = _tall(t)
+    return tall.unionAll(tall.where(F.col("MonthNumber") == 1))
+
+
 # named queries without a school-year parameter
 FIXED: dict[str, Query] = {
     "school_years": partial(shared.school_years, as_of=AS_OF),
@@ -136,6 +154,8 @@ FIXED: dict[str, Query] = {
     "a2_regression": progression.regression_detection,
     "a2_regression_chronological": partial(progression.regression_detection, chronological=True),
     "a2_semester": progression.semester_comparison,
+    "a2_progression_student": partial(progression.progression_by_student, student_oid=STUDENT),
+    "a5_outcomes_subject": partial(pedagogy.outcomes_by_report, subject=SUBJECT),
     "a5_subject_list": pedagogy.subject_list,
     "a9_school_list": schools.school_list,
 }
@@ -192,6 +212,13 @@ ETL: dict[str, Query] = {
     "load_counts": _load_counts,
     "append_load": _append_load,
     "duplicate_keys": _duplicates,
+    "duplicate_revenue_keys": lambda t: keys.duplicate_keys(_copied(t), *load.REVENUE_KEY),
+    "unpivot_dirty": lambda t: reshape.unpivot_service_revenue(_dirty(t)),
+    "dirty_cast_report": lambda t: reshape.revenue_cast_report(_dirty(t)),
+    "unpivot_balances": lambda t: reshape.unpivot_service_tranche(_balances(t)),
+    "unpivot_no_balances": lambda t: reshape.unpivot_service_tranche(_balances(t), exclude_balances=True),
+    "tranche_cast_report": lambda t: reshape.tranche_cast_report(_balances(t)),
+    "key_copies": keys.dimension_key_copies,
     "calendar_tag": _calendar_tag,
     "normalize_school": _normalized_schools,
 }
@@ -225,4 +252,9 @@ ROLLUPS: dict[str, Query] = {
 def all_queries() -> dict[str, Query]:
     by_year = {k: f for k, f in BY_YEAR.items()}
     one_year = {f"{k}_year": partial(f, school_year=SCHOOL_YEAR) for k, f in BY_YEAR.items()}
-    return {**FIXED, **by_year, **one_year, **ETL, **ROLLUPS}
+    calendars = {
+        f"{k}_{name}": partial(BY_YEAR[k], school_year=year)
+        for k in ("a8_by_period", "a8_daily_tagged", "a8_holiday_impact")
+        for name, year in CALENDAR_YEARS.items()
+    }
+    return {**FIXED, **by_year, **one_year, **calendars, **ETL, **ROLLUPS}

@@ -27,7 +27,11 @@ BROADCAST_ROWS = 100_000
 
 
 class LazyTables(Mapping):
-    """Frames opened on first use; remembers which of them passed the broadcast size check."""
+    """Frames opened on first use; remembers which of them passed the broadcast size check.
+
+    A frame keeps the list of files it was opened with, so the remembered size holds as long as the frame: a table that
+    has grown is seen, and checked again, by new tables.
+    """
 
     def __init__(self):
         self._open: dict[str, DataFrame] = {}

@@ -3,9 +3,11 @@ from types import SimpleNamespace
 import pytest
 
 from scolaria.operators import load
-from scolaria.operators.keys import KeyLookup, duplicate_keys, load_counts, not_loaded, resolve_keys, unknown_key_values, unknown_keys
+from scolaria.operators.keys import (
+    KeyLookup, dimension_key_copies, duplicate_keys, load_counts, not_loaded, resolve_keys, unknown_key_values, unknown_keys,
+)
 from scolaria.operators.reshape import unpivot_service_revenue
-from scolaria.plans.registry import scratch_folder
+from scolaria.session import shared_folder
 from scolaria.sources.school_model import school_model
 from scolaria.sources.tables import (
     ParquetTables, broadcast_if_small, extract_date_keys, extract_dim_keys, extract_service_report, extract_service_report_tranche,
@@ -167,9 +169,61 @@ def test_broadcast_only_below_the_bound(spark):
     assert "ResolvedHint" not in broadcast_if_small({"d": big}, "d", big)._jdf.queryExecution().analyzed().toString()
 
 
-@pytest.mark.parametrize("shared", ["/shared/checkpoints", None])
-def test_scratch_folder_follows_the_session(shared):
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else default))
-    first, second = scratch_folder(session), scratch_folder(session)
-    assert first != second
-    assert first.startswith("/shared/checkpoints/load-") == (shared is not None)
+def session_of(master, shared):
+    conf = {"spark.checkpoint.dir": shared}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf[key] or default, set=conf.__setitem__), sparkContext=SimpleNamespace(master=master))
+
+
+@pytest.mark.parametrize("master", ["local[4]", "spark://host:7077"])
+def test_shared_folder_follows_the_session(master):
+    session = session_of(master, "hdfs://store/checkpoints/")
+    first, second = shared_folder(session), shared_folder(session)
+    assert first != second and first.startswith("hdfs://store/checkpoints/scolaria-")
+
+
+def test_no_folder_of_one_machine_on_a_cluster():
+    assert shared_folder(session_of("local[2]", None)).startswith("file:///")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session_of("yarn", None))
+
+
+def test_report_without_months_loads_nothing(spark, billing, tmp_path):
+    bare = {**billing, "StudentServiceReport": billing["StudentServiceReport"].drop("1", "2", "9")}
+    assert load.load_service_revenue(spark, bare, str(tmp_path)) == load.LoadResult(load.REVENUE_TABLE, 0, 0)
+    assert load.load_service_revenue(spark, billing, str(tmp_path)).inserted == 4
+
+
+def test_target_left_by_a_failed_load(spark, billing, tmp_path):
+    (tmp_path / load.REVENUE_TABLE / "_temporary" / "0").mkdir(parents=True)
+    assert load.loaded_keys(spark, str(tmp_path / load.REVENUE_TABLE), load.REVENUE_KEY).count() == 0
+    assert load.load_service_revenue(spark, billing, str(tmp_path)).inserted == 4
+
+
+def test_faults_do_not_become_unknown_keys(billing):
+    class Faulty(dict):
+        def __getitem__(self, name):
+            if name == "DimBranch":
+                raise OSError("no connection")
+            return super().__getitem__(name)
+
+    with pytest.raises(OSError, match="no connection"):
+        unknown_keys(Faulty(billing))
+
+
+def test_missing_folders_have_no_unknown_row(spark, tmp_path):
+    spark.createDataFrame([(3, "UNKNOWN")], "BranchKey long, Code string").write.parquet(str(tmp_path / "DimBranch"))
+    found = unknown_key_values(ParquetTables(spark, str(tmp_path)))
+    assert found["BranchKey"] == 3 and found["ZoneKey"] == -1
+
+
+def test_guids_resolve_in_any_case(spark):
+    tables = {"DimStudent": spark.createDataFrame([(4, "ab-1F")], "StudentKey long, StudentOid string")}
+    frame = spark.createDataFrame([("AB-1f",), ("ab-1F",), ("ab-1",)], "Student string")
+    got = resolve_keys(frame, [KeyLookup("Student", "StudentKey", "DimStudent", "StudentOid", "StudentKey")], tables, {"StudentKey": 1})
+    assert sorted(rows(got)) == [("AB-1f", 4), ("ab-1", 1), ("ab-1F", 4)]
+
+
+def test_keys_held_twice_are_counted(spark, school):
+    twice = school["DimStudent"].unionAll(school["DimStudent"].where("StudentKey = 3"))
+    got = {(r.table, r.key): r.held_twice for r in dimension_key_copies({**school, "DimStudent": twice}).collect()}
+    assert got == {("DimStudent", "StudentKey"): 1, ("DimStudent", "StudentOid"): 1, ("DimEvaluationReport", "EvaluationReportKey"): 0}

@@ -294,3 +294,36 @@ def test_rollups(school):
     assert {r[2] for r in rows(rollups.subject_bands(school))} == {"amber"}
     assert all(r[3] in ("rose", "amber", "teal") for r in rows(rollups.risk_quadrants(school)))
     assert len(rows(rollups.risk_top(school, top=3))) == 3
+
+
+def test_students_of_a_report_are_counted(spark, school):
+    """A report that the dimension gives to two students counts both, in every query that reports students."""
+
+    reports = school["DimEvaluationReport"]
+    key = school["FactStudentEvaluation"].where("Average IS NOT NULL AND EvaluationReportKey <> 1 AND ContentKey <> 1").join(reports.where("StudentOid IS NOT NULL"), "EvaluationReportKey").first().EvaluationReportKey
+    other = reports.where(F.col("EvaluationReportKey") == key).withColumn("StudentOid", F.lit("s7"))
+    tables = {**school, "DimEvaluationReport": reports.unionAll(other)}
+    semester = {r.report_name: r.student_count for r in progression.semester_comparison(tables).collect()}
+    outcomes = {r.report_name: r.student_count for r in pedagogy.outcomes_by_report(tables).collect()}
+    assert semester[str(key)] == 2 and outcomes[str(key)] == 2
+    assert {n for name, n in semester.items() if name != str(key)} == {1}
+
+
+def test_governorate_counts_students_not_rows(school):
+
+    twice = school["DimStudent"].unionAll(school["DimStudent"].where("StudentKey = 4").withColumn("StudentKey", F.lit(40).cast("long")))
+    count = lambda tables: {r.governorate: r.student_count for r in geography.governorate_summary(tables).collect()}
+    assert count({**school, "DimStudent": twice.select(school["DimStudent"].columns)}) == count(school)
+
+
+def test_product_of_row_counts_beyond_a_long(spark, school, monkeypatch):
+    """One student with four thousand million rows on either side."""
+
+    from scolaria.operators import fanout
+
+    many = F.lit(4_000_000_000)
+    attendance, exposure = fanout.attendance_by_student, fanout.student_exposure
+    monkeypatch.setattr(fanout, "attendance_by_student", lambda *a: attendance(*a).withColumns({c: F.col(c) * many for c in ("records", "absent", "late")}))
+    monkeypatch.setattr(fanout, "student_exposure", lambda *a: exposure(*a).withColumns({c: F.col(c) * many for c in ("joined", "n", "passed")}))
+    rates = {r.zone_name: r.absence_rate for r in geography.students_by_zone(school).collect()}
+    assert rates and any(rate is not None for rate in rates.values())

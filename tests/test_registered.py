@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
-from scolaria.plans.registry import BY_YEAR
+from scolaria.plans.registry import BY_YEAR, all_queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, STATEMENTS = registered.queries(), registered.oracle_sql()
+# those of this package; an optional part may register more, with tests of its own
+QUERIES = {key: query for key, query in registered.queries().items() if key in all_queries()}
+STATEMENTS = {key: sql for key, sql in registered.oracle_sql().items() if key in QUERIES}
 
 
 def plain(value):

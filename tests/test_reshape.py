@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import types as T
 
 from scolaria.operators.reshape import (
-    detect_amount_columns, detect_month_columns, detect_tranche_columns, revenue_cast_report, sum_tranches,
-    unpivot_service_revenue, unpivot_service_tranche,
+    detect_amount_columns, detect_month_columns, detect_tranche_columns, filled_cells, revenue_cast_report, sum_tranches,
+    tranche_cast_report, unpivot_service_revenue, unpivot_service_tranche,
 )
 from tests.conftest import by_key, rows
 
@@ -17,18 +17,18 @@ TRANCHE = (
 @pytest.fixture
 def revenue_wide(spark):
     return spark.createDataFrame(
-        [("AAA", "S1", "SVC1", "B1", "Y1", "100,00", "200,00", None), ("BBB", "S2", "SVC1", "B1", "Y1", "150,00", None, "300,00")], REVENUE
+        [("r-1", "amel", "bus", "north", "y8", "42,50", "17,25", None), ("r-2", "badr", "bus", "south", "y8", "8,00", None, "1,75")], REVENUE
     )
 
 
 @pytest.fixture
 def tranche_wide(spark):
-    return spark.createDataFrame([("CCC", "S1", "SVC2", "B1", "Y1", "Z1", "ST1", "500,00", "600,00", "700,00")], TRANCHE)
+    return spark.createDataFrame([("t-1", "amel", "meals", "north", "y8", "coast", "van", "90,40", "11,00", "35,05")], TRANCHE)
 
 
 def test_revenue_rows_without_empty_months(revenue_wide):
     got = {(r.SourceOid, r.MonthNumber, r.Amount) for r in unpivot_service_revenue(revenue_wide).collect()}
-    assert got == {("AAA", 1, 100.0), ("AAA", 2, 200.0), ("BBB", 1, 150.0), ("BBB", 3, 300.0)}
+    assert got == {("r-1", 1, 42.5), ("r-1", 2, 17.25), ("r-2", 1, 8.0), ("r-2", 3, 1.75)}
 
 
 def test_revenue_columns(revenue_wide):
@@ -39,14 +39,19 @@ def test_revenue_columns(revenue_wide):
 
 def test_revenue_of_no_rows_or_no_months(revenue_wide):
     assert unpivot_service_revenue(revenue_wide.limit(0)).count() == 0
-    without = unpivot_service_revenue(revenue_wide.drop("1", "2", "3"))
+    bare = revenue_wide.drop("1", "2", "3")
+    without = unpivot_service_revenue(bare)
     assert without.count() == 0 and "Amount" in without.columns
+    assert revenue_cast_report(bare).count() == 0
+    assert bare.select(filled_cells(bare, [])).distinct().collect() == [(0,)]
 
 
 def test_revenue_drops_and_reports_bad_cells(spark):
     cells = [("abc", "1 234,56", "7,5"), ("NaN", "1d", None)]
     frame = spark.createDataFrame([("o", "s", "v", "b", "y", *c) for c in cells], REVENUE)
     assert [r.Amount for r in unpivot_service_revenue(frame).collect()] == [7.5]
+    months = detect_month_columns(frame)
+    assert sorted(r[0] for r in frame.select(filled_cells(frame, months)).collect()) == [0, 1]
     assert by_key(revenue_cast_report(frame)) == {1: (2, 0, 2), 2: (2, 0, 2), 3: (1, 1, 0)}
 
 
@@ -68,11 +73,20 @@ def test_tranche_detection_by_pattern(spark):
 
 def test_tranche_rows(tranche_wide):
     tall = unpivot_service_tranche(tranche_wide)
-    assert sorted((r.SliceNumber, r.Amount) for r in tall.collect()) == [(1, 500.0), (1, 700.0), (2, 600.0)]
+    assert sorted((r.SliceNumber, r.Amount) for r in tall.collect()) == [(1, 35.05), (1, 90.4), (2, 11.0)]
     assert tall.schema["SliceNumber"].dataType == T.IntegerType()
     assert {"ZoneOid", "ShuttleTypeOid"} <= set(tall.columns)
 
 
+def test_tranche_cells_that_are_no_number_are_reported(tranche_wide):
+    from pyspark.sql import functions as F
+
+    dirty = tranche_wide.withColumns({"TR2": F.lit("n/a"), "Tranche_3_solde": F.lit("1,5")})
+    assert by_key(tranche_cast_report(dirty)) == {"TR1": (1, 1, 0), "TR2": (1, 0, 1), "Tranche 1(22-23)": (1, 1, 0), "Tranche_3_solde": (1, 1, 0)}
+    assert "Tranche_3_solde" not in by_key(tranche_cast_report(dirty, exclude_balances=True))
+    assert tranche_cast_report(tranche_wide.select("Oid")).count() == 0
+
+
 def test_tranche_of_no_rows(tranche_wide):
     assert unpivot_service_tranche(tranche_wide.limit(0)).count() == 0
     assert unpivot_service_tranche(tranche_wide.select("Oid")).count() == 0
