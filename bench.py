@@ -4,7 +4,7 @@
     BENCH_CPUS     local cores (default 8)
     BENCH_QUERIES  comma-separated keys, or "all" (default: the named queries and the load steps; left out
                    are the rollups over them and the one-year variants, the same plans under a filter)
-    BENCH_REPEAT   warm runs, of which the best counts (default 1)
+    BENCH_REPEAT   warm runs, of which the best counts (default 3)
     BENCH_DETAIL   file for cold times and, with BENCH_PRODUCT=1, the joined-product times
     BENCH_PRODUCT  also time the fan-out queries as plain joins
 """
@@ -38,7 +38,7 @@ def timed(frame_of) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(
         "scolaria-bench",
         f"local[{cpus}]",
