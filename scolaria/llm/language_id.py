@@ -17,6 +17,7 @@ from scolaria.llm.shared import written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 15
+MAX_WORDS_KEPT = 200_000
 SAMPLE_PER_LANGUAGE = 1000
 ALPHA = 0.5  # added to each n-gram's count
 TEMPER = 0.1  # n-grams overlap, so each counts as this part of an independent one
@@ -39,22 +40,32 @@ class TextModel:
         return odds / odds.sum()
 
 
+_KNOWN: dict[str, list[int]] = {}  # words of this process and their buckets
+
+
+def _buckets(word: str) -> list[int]:
+    found = _KNOWN.get(word)
+    if found is None:
+        if len(_KNOWN) >= MAX_WORDS_KEPT:
+            _KNOWN.clear()
+        marked = f"_{word}_"
+        runs = [*word, *(marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1))]
+        found = _KNOWN[word] = [zlib.crc32(run.encode()) % BUCKETS for run in runs]
+    return found
+
+
 def grams(text: str | None) -> np.ndarray:
     """Hash buckets of the one to three letter runs of every word, its ends marked; whole text, lower case."""
-    found = []
+    found: list[int] = []
     for word in LETTERS.findall((text or "").lower()):
-        marked = f"_{word}_"
-        found += word
-        found += [marked[i : i + 2] for i in range(len(marked) - 1)]
-        found += [marked[i : i + 3] for i in range(len(marked) - 2)]
-    names, back = np.unique(np.array(found, dtype=object).astype("U3"), return_inverse=True) if found else (np.empty(0, "U3"), np.empty(0, int))
-    return np.array([zlib.crc32(name.encode()) % BUCKETS for name in names.tolist()], np.int64)[back]
+        found += _buckets(word)
+    return np.array(found, np.int64)
 
 
 def train_text_model(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> TextModel:
     """Counts over about sample documents (text, lang) of each language, taken by hash; rows without either are left out.
 
-    What reaches the driver has BUCKETS rows for each language at most.
+    What reaches the driver has BUCKETS rows for each language at most, what is broadcast to choose the sample one.
     """
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -71,7 +82,7 @@ def train_text_model(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Text
     sizes = labelled.groupBy("lang").count()
     whole = 1 << 30
     share = F.least(F.lit(1.0), sample / F.col("count"))
-    chosen = labelled.join(sizes, "lang").where(F.pmod(F.xxhash64("text"), F.lit(whole)) < share * whole).select("lang", "text")
+    chosen = labelled.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("text"), F.lit(whole)) < share * whole).select("lang", "text")
     found = chosen.mapInPandas(counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(found["lang"].unique()))
     counts = np.full((len(languages), BUCKETS), ALPHA)
