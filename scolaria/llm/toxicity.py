@@ -18,7 +18,7 @@ WORD = re.compile(r"[^\W\d_]+")
 BITS = 22
 STEM = 5
 MAX_ROWS = 20_000
-MAX_WORDS_KEPT = 500_000
+MAX_WORDS_KEPT = 300_000
 
 
 @dataclass(frozen=True)
