@@ -20,18 +20,26 @@ TILE = 4096
 CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The 64-bit SimHash of a whole text. bytes.lower() and bytes.split() know ASCII letters and white space only."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """A hash of each run of shingle words. bytes.lower() and bytes.split() know ASCII letters and white space only."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     n = max(len(words) - shingle + 1, 1)
     firsts = [0, *(ends[: n - 1] + 1).tolist()]
     lasts = ends[min(shingle, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(firsts, lasts)), np.uint64, n)
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(firsts, lasts)), np.uint64, n)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The 64-bit SimHash of a whole text."""
+    hashes = shingle_hashes(text, shingle, seed)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, n, CHUNK):
         part = hashes[at : at + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -207,9 +215,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile: int = TILE) -> DataFrame:
-    """The rows of docs of one document of each component: that with the smallest doc_id. Of rows that share this id one
-    stays, with the text of the least hash. Rows without an id can't be told apart and stay."""
-    found = near_duplicates(docs, radius, shingle, seed, tile)
+    """The rows of docs of one document of each component: see first_of_each."""
+    return first_of_each(docs, near_duplicates(docs, radius, shingle, seed, tile))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of docs of one document of each component of found (doc_id, component_id): that with the smallest doc_id.
+    Of rows that share this id one stays, with the text of the least hash. Rows without an id can't be told apart and
+    stay."""
     kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("id")).distinct()
     rows = whole_rows(docs).select("doc", F.col("doc.doc_id").cast("long").alias("id"))
     first = rows.join(kept, "id", "left_semi").groupBy("id").agg(F.min_by("doc", F.xxhash64("doc.text")).alias("doc"))
