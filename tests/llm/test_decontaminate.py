@@ -107,3 +107,17 @@ def test_query_over_the_table(spark, sf_dir):
             want |= {(r.doc_id, item): found for item, (found, _, _) in brute(r.text, items).items()}
     got = {(r.doc_id, r.item_id): r.similarity for r in QUERIES["op3_decontaminate"](spark, sf_dir).collect()}
     assert got == pytest.approx(want) and want
+
+
+def test_text_shorter_than_the_item():
+    """An item without its first or last words is held against the item as a whole, at any distance of fingerprints."""
+    r = random.Random(6)
+    items = [(i, " ".join(f"w{r.randrange(3000)}" for _ in range(n))) for i, n in enumerate([12, 30, 59, 59, 90] * 6)]
+    index = BenchmarkIndex(items)
+    for item_id, item in items:
+        words = item.split()
+        for cut in range(1, len(words) // 5 + 2):
+            for part in (words[cut:], words[:-cut]):
+                want = weighted_similarity(shingle_counts(part), shingle_counts(words))
+                got = [(i, s, first, n) for i, s, _, first, n in index.matches(" ".join(part).upper())]
+                assert got == ([(item_id, pytest.approx(want), 0, len(part))] if want >= 0.8 else [])
