@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from scolaria.llm.shared import ascii_lower, row_key, text_or_empty, whole_rows,
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CONTAINMENT = 0.8
 
+Blocks = Callable[[DataFrame, Sequence[str], Sequence[str], Sequence[int]], DataFrame]
+
 #: Phrase -> label.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -63,16 +65,52 @@ def _literal(words: Sequence[str]) -> Column:
     return F.array(*[F.lit(word) for word in words])
 
 
-def matched_templates(rows: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """row, found (labels), best (the greatest containment) of the rows (row, doc) with a line that meets a template.
+def line_blocks(rows: DataFrame, first_words: Sequence[str], vocabulary: Sequence[str], sizes: Sequence[int]) -> DataFrame:
+    """row, block, span of every line with a first word: its words of the vocabulary, in this order. A line meets all templates."""
+    lines = rows.select("row", F.explode(F.split(text_or_empty(), "\n", -1)).alias("line")).select("row", words_of(F.col("line")).alias("line"))
+    lines = lines.where(F.arrays_overlap("line", _literal(first_words)))
+    return lines.select("row", F.array_intersect(_literal(vocabulary), "line").alias("block"), F.lit(0).alias("span"))
+
+
+def span_of(size: int) -> int:
+    """The words of a window for a template of size words: half as many again."""
+    return size + size // 2
+
 
-    A block is a line; containment is the share of a template's different words that the block has. Words are ordered by
+def window_blocks(rows: DataFrame, first_words: Sequence[str], vocabulary: Sequence[str], sizes: Sequence[int]) -> DataFrame:
+    """row, block, span of the windows of the text's words that begin with a word of the vocabulary, across line ends.
+
+    There is a window of span_of(size) words for every size of a template; it meets templates of this size only. A window
+    that meets a template has the same words of it from the first of them on, so no other starts are needed. Only texts
+    with a first word, and of a text each different block of a span once.
+    """
+    whole = rows.select("row", words_of(text_or_empty()).alias("words")).where(F.arrays_overlap("words", _literal(first_words)))
+    numbers = F.map_from_arrays(_literal(vocabulary), F.sequence(F.lit(0), F.lit(len(vocabulary) - 1)))
+    known = F.filter(F.transform("words", lambda word, i: F.struct(F.try_element_at(numbers, word).alias("n"), i.alias("i"))), lambda x: x["n"].isNotNull())
+    places = whole.select("row", known.alias("known"))
+    spans = sorted({span_of(size) for size in sizes})
+
+    def window(x: Column, k: Column, span: int) -> Column:
+        near = F.filter(F.slice("known", k + 1, span), lambda y: y["i"] < x["i"] + span)
+        return F.struct(F.lit(span).alias("span"), F.array_sort(F.array_distinct(F.transform(near, lambda y: y["n"]))).alias("block"))
+
+    windows = lambda span: F.transform("known", lambda x, k: window(x, k, span))
+    every = F.concat(*map(windows, spans))
+    found = places.select("row", F.explode(F.array_distinct(every)).alias("at")).select("row", "at.*")
+    return found.select("row", F.transform("block", lambda n: F.get(_literal(vocabulary), n)).alias("block"), "span")
+
+
+def matched_templates(rows: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT, blocks_of: Blocks = line_blocks) -> DataFrame:
+    """row, found (labels), best (the greatest containment) of the rows (row, doc) with a block that meets a template.
+
+    A block is a line, or with window_blocks a run of words bounded by the template's length; containment is the share of a template's different words that the block has. Words are ordered by
     the number of texts of the whole table that have them, rarest first. A block that meets a template has one of the
     first words of it in this order (the prefix), enough words (length), and enough words left on both sides of a shared
     one (position); only such pairs are compared. Words outside all templates can't be shared, so they are left out.
     The templates are a fixed list; what is broadcast has a row for each of their words at most.
     """
-    sets = [(label, sorted(set(sentence.split()))) for label in templates for sentence in templates[label]]
+    sentences = [(label, sentence) for label in templates for sentence in templates[label]]
+    sets = [(label, sorted(set(sentence.split()))) for label, sentence in sentences]
     vocabulary = sorted({word for _, words in sets for word in words})
     seen = rows.select(F.explode(F.array_intersect(_literal(vocabulary), words_of(text_or_empty()))).alias("word")).groupBy("word").count()
     frequency = {row["word"]: row["count"] for row in seen.collect()}
@@ -82,23 +120,23 @@ def matched_templates(rows: DataFrame, templates: Mapping[str, Sequence[str]] =
         ordered = sorted(words, key=rank.__getitem__)
         least = needed(len(words), containment)
         for place, word in enumerate(ordered[: len(words) - least + 1]):
-            prefixes.append(F.struct(F.lit(word).alias("word"), F.lit(n).alias("template"), F.lit(label).alias("label"), F.lit(place).alias("at"), F.lit(len(words)).alias("size"), F.lit(least).alias("least"), _literal(ordered).alias("words")))
+            prefixes.append(F.struct(F.lit(word).alias("word"), F.lit(n).alias("template"), F.lit(label).alias("label"), F.lit(place).alias("at"), F.lit(len(words)).alias("size"), F.lit(least).alias("least"), F.lit(span_of(len(sentences[n][1].split()))).alias("fits"), _literal(ordered).alias("words")))
     first_words = sorted({word for _, words in sets for word in sorted(words, key=rank.__getitem__)[: len(words) - needed(len(words), containment) + 1]})
     table = rows.sparkSession.range(1).select(F.explode(F.array(*prefixes)).alias("prefix")).select("prefix.*")
 
-    lines = rows.select("row", F.explode(F.split(text_or_empty(), "\n", -1)).alias("line")).select("row", words_of(F.col("line")).alias("line"))
-    lines = lines.where(F.arrays_overlap("line", _literal(first_words)))
-    blocks = lines.select("row", F.array_intersect(_literal(sorted(vocabulary, key=rank.__getitem__)), "line").alias("block"))
-    shared = blocks.select("row", "block", F.posexplode("block").alias("place", "word")).join(F.broadcast(table), "word")
+    ordered_words = sorted(vocabulary, key=rank.__getitem__)
+    blocks = blocks_of(rows, first_words, ordered_words, [len(sentence.split()) for _, sentence in sentences])
+    shared = blocks.select("row", "block", "span", F.posexplode("block").alias("place", "word")).join(F.broadcast(table), "word")
     long_enough = F.size("block") >= F.col("least")
     ahead, left = F.least("at", "place"), F.least(F.col("size") - F.col("at"), F.size("block") - F.col("place"))
-    candidates = shared.where(long_enough & (ahead + left >= F.col("least")))
+    same_span = (F.col("span") == 0) | (F.col("span") == F.col("fits"))
+    candidates = shared.where(same_span & long_enough & (ahead + left >= F.col("least")))
     compared = candidates.select("row", "label", "size", "least", F.size(F.array_intersect("words", "block")).alias("common"))
     met = compared.where(F.col("common") >= F.col("least"))
     return met.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("size")).alias("best"))
 
 
-def scan_licenses(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT, blocks_of: Blocks = line_blocks) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row of docs (doc_id, text).
 
     Words are runs of digits, letters a-z after lower-casing A-Z, and code points beyond ASCII; a null text has none.
@@ -108,7 +146,7 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMP
     scanned one by one; an empty table gives an empty table; other columns are left out.
     """
     rows = whole_rows(docs).select("doc", row_key(F.col("doc.doc_id"), F.col("doc.text")).alias("row"))
-    found = written(matched_templates(rows, templates, containment))
+    found = written(matched_templates(rows, templates, containment, blocks_of))
     read = rows.select("row", F.col("doc.doc_id").alias("doc_id"), words_of(text_or_empty()).alias("words"))
     places = read.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), *[phrase_places("words", phrase).alias(label) for phrase, label in PHRASES.items()])
     every = F.concat(*[F.col(f"`{label}`") for label in PHRASES.values()])

@@ -22,7 +22,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"), blocks_of=license_scan.window_blocks)
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

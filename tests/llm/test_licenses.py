@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from scolaria.llm.license_scan import PHRASES, TEMPLATES, matched_templates, needed, scan_licenses
+from scolaria.llm.license_scan import PHRASES, TEMPLATES, matched_templates, needed, scan_licenses, window_blocks
 from scolaria.llm.shared import row_key, whole_rows
 from tests.llm.conftest import CLASHES, ODD
 
@@ -74,3 +74,38 @@ def test_labels_do_not_run_into_each_other():
     for label, sentences in TEMPLATES.items():
         for sentence in sentences:
             assert set(contained(sentence, TEMPLATES, 0.8)) == {label}
+
+
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal",
+    "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:",
+    "isc": " * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby granted, provided that",
+}
+
+
+def test_wrapped_notices(spark, docs_of, tmp_path):
+    """The query finds a notice that runs over a line end, and none in the same words far apart."""
+    from scolaria.llm.queries import QUERIES
+
+    spread = " ".join(f"{word} x y z" for word in TEMPLATES["unlicense"][0].split())
+    pairs = [*enumerate(WRAPPED.values(), 1), (8, spread), (9, None)]
+    docs_of(pairs).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.labels, r.score) for r in QUERIES["op2_license_scan"](spark, str(tmp_path)).collect()}
+    assert got == {**{i: (label, 1.0) for i, label in enumerate(WRAPPED, 1)}, 8: ("", 0.0), 9: ("", 0.0)}
+
+
+def test_windows_against_plain_loops(docs_of):
+    pairs = [*enumerate([*TEXTS, *WRAPPED.values(), "x " * 50 + "\n".join(TEXTS)], 100), *ODD]
+    rows = whole_rows(docs_of(pairs)).select("doc", row_key(F.col("doc.doc_id"), F.col("doc.text")).alias("row"))
+    want = {}
+    for i, text in pairs:
+        words = words_of(text) if len(text or "") < 10_000 else []
+        for label, sentences in TEMPLATES.items():
+            for sentence in sentences:
+                wanted, span = set(sentence.split()), len(sentence.split()) * 3 // 2
+                most = max((len(wanted & set(words[k : k + span])) for k in range(len(words))), default=0)
+                if most >= needed(len(wanted), 0.8):
+                    found, best = want.get(i, (set(), 0))
+                    want[i] = (found | {label}, max(best, most / len(wanted)))
+    met = matched_templates(rows, blocks_of=window_blocks)
+    assert {r.doc.doc_id: (set(r.found), r.best) for r in rows.join(met, "row").collect()} == want
