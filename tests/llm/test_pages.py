@@ -172,3 +172,18 @@ def test_languages_of_the_given_pages(spark, sf_dir):
     rows = QUERIES["op1_language_id"](spark, sf_dir).collect()
     assert len(rows) == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
     assert sum(r.lang == r.declared for r in rows) >= 0.98 * len(rows) and sum(r.text_lang == r.declared for r in rows) >= 0.95 * len(rows)
+
+
+@pytest.mark.parametrize(
+    ("page", "article"),
+    [
+        ("<div id=content class='right-sidebar'><article><p>a</article></div>", ["a"]),
+        ("<div class='no-sidebar has-comments page-with-banner'><main>a</main></div>", ["a"]),
+        ("<div class=widget><div class=banner><p>b</p><article>a</article></div></div>", ["a"]),
+        ("<article>a</article><div id=comments><article>c</article></div>", ["a"]),
+        ("<article><h2 id=search>h</h2><h2 id=social-effects>i</h2><section id=related-work>w</section><p class=notice>p</p><div class=related>r</div></article>", ["h", "i", "w", "p"]),
+        ("<article><p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</article>", ["if x=1 then"]),
+    ],
+)
+def test_names_do_not_drop_the_article(page, article):
+    assert blocks_of(page)[0] == article
