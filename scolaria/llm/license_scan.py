@@ -37,6 +37,9 @@ TEMPLATES: Mapping[str, Sequence[str]] = {
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
 
+#: Label -> words of which a block must have one. Without them little in these short templates is distinctive.
+DISTINCTIVE: Mapping[str, Sequence[str]] = {"bsl-1.0": ["boost"], "creative-commons": ["cc", "creative"]}
+
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(text), NOT_WORD, -1), lambda word: word != "")
@@ -107,7 +110,7 @@ def matched_templates(rows: DataFrame, templates: Mapping[str, Sequence[str]] =
     the number of texts of the whole table that have them, rarest first. A block that meets a template has one of the
     first words of it in this order (the prefix), enough words (length), and enough words left on both sides of a shared
     one (position); only such pairs are compared. Words outside all templates can't be shared, so they are left out.
-    The templates are a fixed list; what is broadcast has a row for each of their words at most.
+    A block also needs one of the DISTINCTIVE words of the label, if there are any. The templates are a fixed list; what is broadcast has a row for each of their words at most.
     """
     sentences = [(label, sentence) for label in templates for sentence in templates[label]]
     sets = [(label, sorted(set(sentence.split()))) for label, sentence in sentences]
@@ -120,7 +123,7 @@ def matched_templates(rows: DataFrame, templates: Mapping[str, Sequence[str]] =
         ordered = sorted(words, key=rank.__getitem__)
         least = needed(len(words), containment)
         for place, word in enumerate(ordered[: len(words) - least + 1]):
-            prefixes.append(F.struct(F.lit(word).alias("word"), F.lit(n).alias("template"), F.lit(label).alias("label"), F.lit(place).alias("at"), F.lit(len(words)).alias("size"), F.lit(least).alias("least"), F.lit(span_of(len(sentences[n][1].split()))).alias("fits"), _literal(ordered).alias("words")))
+            prefixes.append(F.struct(F.lit(word).alias("word"), F.lit(n).alias("template"), F.lit(label).alias("label"), F.lit(place).alias("at"), F.lit(len(words)).alias("size"), F.lit(least).alias("least"), F.lit(span_of(len(sentences[n][1].split()))).alias("fits"), _literal(ordered).alias("words"), _literal(DISTINCTIVE.get(label, ordered)).alias("distinctive")))
     first_words = sorted({word for _, words in sets for word in sorted(words, key=rank.__getitem__)[: len(words) - needed(len(words), containment) + 1]})
     table = rows.sparkSession.range(1).select(F.explode(F.array(*prefixes)).alias("prefix")).select("prefix.*")
 
@@ -130,7 +133,8 @@ def matched_templates(rows: DataFrame, templates: Mapping[str, Sequence[str]] =
     long_enough = F.size("block") >= F.col("least")
     ahead, left = F.least("at", "place"), F.least(F.col("size") - F.col("at"), F.size("block") - F.col("place"))
     same_span = (F.col("span") == 0) | (F.col("span") == F.col("fits"))
-    candidates = shared.where(same_span & long_enough & (ahead + left >= F.col("least")))
+    told = F.arrays_overlap("block", "distinctive")
+    candidates = shared.where(same_span & told & long_enough & (ahead + left >= F.col("least")))
     compared = candidates.select("row", "label", "size", "least", F.size(F.array_intersect("words", "block")).alias("common"))
     met = compared.where(F.col("common") >= F.col("least"))
     return met.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("size")).alias("best"))

@@ -109,3 +109,13 @@ def test_windows_against_plain_loops(docs_of):
                     want[i] = (found | {label}, max(best, most / len(wanted)))
     met = matched_templates(rows, blocks_of=window_blocks)
     assert {r.doc.doc_id: (set(r.found), r.best) for r in rows.join(met, "row").collect()} == want
+
+
+def test_common_words_are_no_notice(docs_of):
+    """Other licenses with the common words of a short template, and a template's words spread over a long line."""
+    texts = [
+        "Distributed under the Academic Software License, version 1.0", "Licensed under the terms set by Acme, release 4.0",
+        " and so on and on ".join(TEMPLATES["unlicense"][0].split()), "Distributed under the Boost Software License, version 1.0", "licensed under CC BY 4.0",
+    ]
+    got = {r.doc_id: r.labels for r in scan_licenses(docs_of(enumerate(texts)), blocks_of=window_blocks).collect()}
+    assert got == {0: "", 1: "", 2: "", 3: "bsl-1.0", 4: "cc-by,creative-commons"}
