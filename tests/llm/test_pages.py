@@ -187,3 +187,10 @@ def test_languages_of_the_given_pages(spark, sf_dir):
 )
 def test_names_do_not_drop_the_article(page, article):
     assert blocks_of(page)[0] == article
+
+
+def test_copies_of_a_page_on_a_host_stay(spark):
+    text = " ".join(f"word{i}" for i in range(20))
+    pages = [(1, "http://a.com/1", f"<p>{text}</p>"), (2, "http://a.com/2", f"<div>{text}</div>"), (3, None, f"<p>{text}</p>"), (4, None, f"<p>{text}</p>")]
+    got = main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(i, text) for i in range(1, 5)]
