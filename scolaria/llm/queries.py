@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scolaria.llm import decontaminate, html_text, language_id, license_scan, line_dedup, packing, quality_rules, simhash, token_store, toxicity
+from scolaria.llm import (
+    decontaminate, exact_dedup, filter_audit, html_text, language_id, license_scan, line_dedup, merkle, packing, quality_rules, simhash, token_store, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +63,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit_tampering(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -72,4 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_exact_dedup": op13_exact_dedup,
 }

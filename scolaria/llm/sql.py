@@ -85,8 +85,118 @@ SELECT b.doc_id, n_words, len(places) AS n_base, list_min(places) - 1 AS first_w
 FROM base b LEFT JOIN found f ON b.doc_id = f.doc_id
 """
 
+COPIES = f"""
+WITH hashed AS (SELECT doc_id, sha256(translate(coalesce(text, ''), {UPPER}, {LOWER})) AS text_sha256 FROM documents),
+grouped AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM hashed JOIN grouped USING (text_sha256)
+"""
+
+_LETTERS = "(VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16))"
+
+FILTER_AUDIT = f"""
+WITH plain AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, list_filter(string_split(translate(text, {SPACE}, repeat(' ', 6)), ' '), lambda w: w <> '') AS words FROM plain),
+firsts AS (SELECT text, min(doc_id) AS first_id FROM plain GROUP BY text),
+failed AS (
+  SELECT doc_id, part,
+         CAST(len(words) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INT)
+         + 4 * CAST(100 * (length(s.text) - length(translate(s.text, {UPPER}, ''))) > 10 * length(s.text) AS INT)
+         + 8 * CAST(length(s.text) <> length(translate(s.text, '#$%&*|', '')) AS INT) + 16 * CAST(doc_id > first_id AS INT) AS fails
+  FROM split s JOIN firsts f ON s.text = f.text),
+told AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+  FROM failed LEFT JOIN told USING (doc_id) GROUP BY part, fails),
+orders AS (
+  SELECT concat(a.l, b.l, c.l, d.l, e.l) AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM {_LETTERS} a(l, bit), {_LETTERS} b(l, bit), {_LETTERS} c(l, bit), {_LETTERS} d(l, bit), {_LETTERS} e(l, bit)
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS earlier
+  FROM (SELECT filter_order, bits, unnest([1, 2, 3, 4, 5]) AS step FROM orders) a),
+counted AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (WHERE fails & (earlier | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE fails & earlier = 0 AND fails & bit <> 0), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE fails & earlier <> 0 AND fails & bit <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails = bit), 0) AS unique_fails,
+         coalesce(sum(n_good) FILTER (WHERE fails & earlier = 0 AND fails & bit <> 0), 0) AS good_lost,
+         coalesce(sum(n_toxic) FILTER (WHERE fails & earlier = 0 AND fails & bit <> 0), 0) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+#: Levels that the statement of the manifest writes out: enough for 16 ** 6 documents of a source and 16 ** 3 sources.
+SOURCE_LEVELS, TOP_LEVELS = 6, 3
+
+
+def _sized(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256(concat({', '.join(map(_sized, ('doc_id', 'source', 'lang', 'n_chars', text)))}))"
+
+
+def _crc32(text: str) -> str:
+    shifted = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: CAST(ord(ch) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {shifted}), 4294967295)"
+
+
+def _levels(tree: str, levels: int) -> str:
+    """CTEs that lift tree_0 (key, place, h): tree_i has the nodes of level i, tree_run_i their runs where a tree goes on above."""
+    out = []
+    for i in range(levels):
+        out.append(f"""
+{tree}_run_{i} AS (
+  SELECT key, place // 16 AS run, string_agg(h, '' ORDER BY place) AS digests FROM {tree}_{i}
+  WHERE key IN (SELECT key FROM {tree}_{i} GROUP BY key HAVING count(*) > 1) GROUP BY key, run),
+{tree}_{i + 1} AS (SELECT key, run AS place, sha256(digests) AS h FROM {tree}_run_{i}),""")
+    roots = " UNION ALL ".join(f"SELECT key, min(h) AS h FROM {tree}_{i} GROUP BY key HAVING count(*) = 1" for i in range(levels + 1))
+    return "".join(out) + f"\n{tree}_roots AS ({roots}),"
+
+
+def _folds(tree: str, levels: int, start: str, name: str) -> tuple[str, str]:
+    """CTEs that carry start (doc_id, key, place, h, proof) through the runs of a tree."""
+    out, last = [], start
+    for i in range(levels):
+        left, right = "substr(digests, 1, 64 * (place % 16))", "substr(digests, 64 * (place % 16) + 65)"
+        out.append(f"""
+{name}_{i} AS (
+  SELECT f.doc_id, f.key, f.place // 16 AS place, CASE WHEN digests IS NULL THEN h ELSE sha256(concat({left}, h, {right})) END AS h,
+         CASE WHEN digests IS NULL THEN proof ELSE concat(proof, {left}, {right}) END AS proof
+  FROM {last} f LEFT JOIN {tree}_run_{i} r ON f.key = r.key AND f.place // 16 = r.run),""")
+        last = f"{name}_{i}"
+    return "".join(out), last
+
+
+_IN_SOURCE, _AT_SUBROOT = _folds("tree", SOURCE_LEVELS, "shown", "fold")
+_OVER_SOURCES, _AT_ROOT = _folds("top", TOP_LEVELS, "at_source", "over")
+
+MANIFEST = f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('/' || source, '') AS key, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS place,
+         {_leaf('text')} AS leaf, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {_leaf(f"translate(text, {UPPER}, {LOWER})")} END AS changed
+  FROM (SELECT doc_id, CAST(source AS VARCHAR) AS source, lang, n_chars, text FROM documents) d),
+tree_0 AS (SELECT key, place, leaf AS h FROM leaves),{_levels("tree", SOURCE_LEVELS)}
+sources AS (SELECT key AS name, '' AS key, row_number() OVER (ORDER BY key) - 1 AS place, h FROM tree_roots),
+top_0 AS (SELECT key, place, h FROM sources),{_levels("top", TOP_LEVELS)}
+shown AS (SELECT doc_id, key, place, coalesce(changed, leaf) AS h, '' AS proof FROM leaves),{_IN_SOURCE}
+at_source AS (SELECT f.doc_id, s.key, s.place, f.h, f.proof FROM {_AT_SUBROOT} f JOIN sources s ON f.key = s.name),{_OVER_SOURCES}
+top_root AS (SELECT h AS root FROM top_roots)
+SELECT l.doc_id, l.leaf, s.h AS subroot, root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM leaves l JOIN sources s ON l.key = s.name JOIN {_AT_ROOT} f ON l.doc_id = f.doc_id CROSS JOIN top_root
+"""
+
 STATEMENTS: dict[str, str] = {
     "op2_license_scan": LICENSES,
     "op4_line_dedup": f"WITH {LINES.format(documents='documents')} SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM line_kept",
     "op7_quality_rules": QUALITY,
+    "op11_merkle_manifest": MANIFEST,
+    "op12_filter_audit": FILTER_AUDIT,
+    "op13_exact_dedup": COPIES,
 }

@@ -1,0 +1,130 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from scolaria.llm import merkle
+from scolaria.llm.merkle import Block, address, audit_tampering, build_manifest, levels_over, tree_size
+from tests.llm.conftest import CLASHES, ODD
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_leaf(row):
+    return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def lower(text):
+    return None if text is None else "".join(c.lower() if c.isascii() else c for c in text)
+
+
+def plain_tree(leaves):
+    """Levels from the leaves to the one node."""
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append([digest("".join(levels[-1][i : i + 16])) for i in range(0, len(levels[-1]), 16)])
+    return levels
+
+
+def brute(rows):
+    """The contract in plain loops, for rows (doc_id, source, lang, n_chars, text)."""
+    by_source = {}
+    for row in rows:
+        by_source.setdefault(row[1], []).append((row[0], plain_leaf(row), row))
+    names = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for name in names:
+        by_source[name].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        trees[name] = plain_tree([leaf for _, leaf, _ in by_source[name]])
+    top = plain_tree([trees[name][-1][0] for name in names])
+    out = []
+    for k, name in enumerate(names):
+        for at, (doc_id, leaf, row) in enumerate(by_source[name]):
+            shown, proof = leaf, ""
+            if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0:
+                shown = plain_leaf((*row[:4], lower(row[4])))
+            for tree, place in ((trees[name], at), (top, k)):
+                for level in tree[:-1]:
+                    run, i = place // 16 * 16, place % 16
+                    left, right = "".join(level[run : run + i]), "".join(level[run + i + 1 : run + 16])
+                    shown, proof, place = digest(left + shown + right), proof + left + right, place // 16
+            out.append((doc_id, leaf, trees[name][-1][0], top[-1][0], digest(proof), shown, shown == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def result(frame):
+    return sorted(map(tuple, frame.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified").collect()), key=str)
+
+
+def documents(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+
+
+def test_addresses_fill_a_tree_once():
+    for levels in (1, 2, 3, 4):
+        every = np.concatenate([address(depth, np.arange(16**depth), levels) for depth in range(levels)])
+        assert sorted(every.tolist()) == list(range(tree_size(levels)))
+    # The tree of four levels is cut in two: below its two top levels lie trees of a node and its 16 leaves, each in one piece.
+    assert address(0, np.array([0]), 4)[0] == 0 and address(2, np.array([0, 1, 255]), 4).tolist() == [17, 34, 17 * 256]
+    assert address(3, np.arange(18), 4).tolist() == [*range(18, 34), 35, 36]
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 16, 17, 255, 256, 257, 4095, 4096])
+def test_a_block_is_the_plain_tree(leaves):
+    given = [hashlib.sha256(str(i).encode()).digest() for i in range(leaves)]
+    want = plain_tree([leaf.hex() for leaf in given])
+    block = Block.over(given, levels_over(leaves))
+    assert [[node.tobytes().hex() for node in block.row(depth)] for depth in range(block.levels)] == want[::-1]
+    again = Block.of_bytes(block.nodes.tobytes(), leaves, block.levels)
+    assert all(merkle.fold(leaf.hex().encode(), path).decode() == want[-1][0] for leaf, path in zip(given, again.paths()))
+
+
+def test_sources_of_every_size(spark, monkeypatch):
+    """Sources with 1, 2, 16, 17, 257 and 4100 documents (two rounds of blocks), a null source, an empty one and many small ones."""
+    r, rows = random.Random(5), []
+    sizes = {"a": 1, "b": 2, "c": 16, "Zé": 17, "z": 257, "hot": 4100, None: 5, "": 3, **{f"s{i}": 1 for i in range(20)}}
+    ids = iter(r.sample(range(10**6), sum(sizes.values())))
+    for source, n in sizes.items():
+        rows += [(i, source, r.choice(["en", None]), r.choice([None, i % 7]), r.choice(["Some TEXT", "some text", None, "", f"Ünï {i}"])) for _, i in zip(range(n), ids)]
+    r.shuffle(rows)
+    assert result(audit_tampering(documents(spark, rows).repartition(7))) == brute(rows)
+
+
+def test_odd_rows_and_clashing_columns(docs_of):
+    frame = docs_of([*ODD, (None, None), (None, "A")], *CLASHES, "key", "at", "name", "other", "n", "total", "digest2")
+    rows = [tuple(r) for r in frame.select("doc_id", "source", "lang", "n_chars", "text").collect()]
+    assert result(audit_tampering(frame)) == brute(rows)
+    assert audit_tampering(docs_of([])).collect() == [] and build_manifest(docs_of([])).root is None
+
+
+def test_one_document(spark):
+    rows = [(5, None, None, None, "Only ONE")]
+    assert result(audit_tampering(documents(spark, rows))) == brute(rows)
+
+
+def test_a_changed_row_changes_the_root(spark):
+    rows = [(i, f"s{i % 3}", "en", 4, f"text {i}") for i in range(60)]
+    root = build_manifest(documents(spark, rows)).root
+    assert build_manifest(documents(spark, rows[::-1])).root == root
+    assert build_manifest(documents(spark, [*rows[:-1], (59, "s2", "en", 4, "text 59 ")])).root != root
+
+
+def test_blocks_are_the_stored_tree(spark):
+    """The written blocks alone give the root: every block's first node is a leaf of the block above it."""
+    manifest = build_manifest(documents(spark, [(i, "s", "en", 1, str(i)) for i in range(4200)]))
+    first, second = (sorted(table.collect(), key=lambda b: b.block) for table in manifest.rounds)
+    assert [len(b.names) for b in first] == [4096, 104] and len(second) == 1
+    above = Block.of_bytes(bytes(second[0].nodes), 2, second[0].levels)
+    assert [bytes(b.nodes[:32]) for b in first] == [row.tobytes() for row in above.row(above.levels - 1)]
+    assert manifest.root == above.row(0)[0].tobytes().hex()
+
+
+def test_leaf_digest_against_the_formula(docs_of):
+    frame = docs_of(ODD)
+    got = [r.d for r in frame.select(merkle.leaf_digest(F.col("text")).alias("d")).collect()]
+    assert got == [plain_leaf((r.doc_id, r.source, r.lang, r.n_chars, r.text)) for r in frame.collect()]

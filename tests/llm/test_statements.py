@@ -27,7 +27,7 @@ def test_query_equals_its_statement(spark, sf_dir, key):
     assert sorted(([plain(r[c]) for c in columns] for r in frame.collect()), key=str) == want
 
 
-@pytest.mark.parametrize("key", ["op2_license_scan", "op4_line_dedup", "op7_quality_rules"])
+@pytest.mark.parametrize("key", ["op2_license_scan", "op4_line_dedup", "op7_quality_rules", "op13_exact_dedup"])
 def test_native_queries_run_no_python(spark, sf_dir, key):
     plan = QUERIES[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     for node in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD"):
@@ -36,5 +36,5 @@ def test_native_queries_run_no_python(spark, sf_dir, key):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(registered.queries())
-    assert {key.split("_")[0] for key in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {key.split("_")[0] for key in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(STATEMENTS) <= set(registered.oracle_sql())
