@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -42,7 +43,8 @@ def main() -> None:
     spark = build_session(
         "scolaria-bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='scolaria-')}"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()

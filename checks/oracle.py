@@ -307,10 +307,14 @@ def _geography(y: bool) -> dict[str, str]:
     }
 
 
+def _calendar_label(wanted: str) -> str:
+    """Days of a year without a calendar are tagged by the default one."""
+    return f"(SELECT coalesce((SELECT any_value(year_label) FROM academic_calendar WHERE year_label = {wanted}), '2024-2025'))"
+
+
 def _periods(y: bool | str) -> dict[str, str]:
     wanted = f"(SELECT Description FROM dim_school_year WHERE SchoolYearKey = {SCHOOL_YEAR if y is True else y})" if y else "'2024-2025'"
-    # days of a year without a calendar are tagged by the default one; its holidays are none
-    label = f"(SELECT coalesce((SELECT any_value(year_label) FROM academic_calendar WHERE year_label = {wanted}), '2024-2025'))"
+    label = _calendar_label(wanted)  # holidays of a year without a calendar are none
     tagged = f"""SELECT a.full_date, any_value(a.total) AS total, any_value(a.absence_rate) AS absence_rate,
         coalesce(min_by(c.type, c.ordinal), 'normal') AS period_type, coalesce(min_by(c.label, c.ordinal), 'Normal Period') AS period_label
         FROM ({_daily(y)}) a LEFT JOIN (SELECT * FROM academic_calendar WHERE year_label = {label}) c
@@ -358,6 +362,13 @@ def _schools(y: bool) -> dict[str, str]:
     }
 
 
+def _tagged_days(label: str) -> str:
+    return f"""SELECT strftime(d.FullDate, '%Y-%m-%d') AS full_date, coalesce(min_by(c.type, c.ordinal), 'normal') AS period_type,
+            coalesce(min_by(c.label, c.ordinal), 'Normal Period') AS period_label FROM dim_date d
+            LEFT JOIN (SELECT * FROM academic_calendar WHERE year_label = {label}) c ON d.FullDate BETWEEN c.first_day AND c.last_day
+            GROUP BY d.DateKey, d.FullDate"""
+
+
 def _etl() -> dict[str, str]:
     months = [str(m) for m in range(1, 13)]
     number = lambda x: f"round_even(TRY_CAST(replace({x}, ',', '.') AS DOUBLE) * 100, 0) / 100"
@@ -451,10 +462,9 @@ def _etl() -> dict[str, str]:
                 ("DimEvaluationReport", "dim_evaluation_report", "EvaluationReportKey"),
             ]
         ),
-        "calendar_tag": """SELECT strftime(d.FullDate, '%Y-%m-%d') AS full_date, coalesce(min_by(c.type, c.ordinal), 'normal') AS period_type,
-            coalesce(min_by(c.label, c.ordinal), 'Normal Period') AS period_label FROM dim_date d
-            LEFT JOIN (SELECT * FROM academic_calendar WHERE year_label = '2024-2025') c ON d.FullDate BETWEEN c.first_day AND c.last_day
-            GROUP BY d.DateKey, d.FullDate""",
+        "calendar_tag": _tagged_days("'2024-2025'"),
+        **{f"calendar_tag_{name}": _tagged_days(_calendar_label(f"(SELECT Description FROM dim_school_year WHERE SchoolYearKey = {year})"))
+           for name, year in CALENDAR_YEARS.items()},
         "normalize_school": """SELECT s.StudentKey, n.canonical FROM dim_student s
             JOIN school_names n ON s.BacType IS NOT DISTINCT FROM n.BacType""",
     }
@@ -538,6 +548,8 @@ def _named() -> dict[str, str]:
     one_year = {f"{k}_year": v for section in sections for k, v in section(True).items()}
     calendars = {f"{k}_{name}": v for name, year in CALENDAR_YEARS.items() for k, v in _periods(year).items()}
     chosen = {
+        "a1_kpis_oid": _performance(SCHOOL_YEAR)["a1_kpis"],  # the Oid of the same year
+        "a1_kpis_unknown_year": _performance(False)["a1_kpis"],  # an unknown key is no filter
         "a2_progression_student": f"SELECT p.* FROM a2_progression p JOIN dim_student s ON p.student_name = s.FullNameArab WHERE s.StudentOid = '{STUDENT_OID}'",
         "a5_outcomes_subject": f"SELECT * FROM a5_outcomes WHERE subject = {text(SUBJECT_NAME)}",
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scolaria.functions.rounding import half_up, mean, ratio, snap, stddev_from_moments
@@ -80,6 +80,18 @@ def stability_index(tables: Tables, top: int = 20) -> DataFrame:
     return stability(tables).orderBy("score_stddev", "student_name").limit(top)
 
 
+def _trend(total: Column, n: Column, latest: Column) -> dict[str, Column]:
+    """Rounded figures and label of a student's year sums; latest is a struct (total, n)."""
+    hist, last = ratio(total, n), ratio(latest["total"], latest["n"])
+    change = snap(last - hist)
+    return {
+        "historical_avg": half_up(hist, 2),
+        "latest_avg": half_up(last, 2),
+        "delta": half_up(last - hist, 2),
+        "trend_label": F.when(change < -TREND_DELTA, "Regression").when(change > TREND_DELTA, "Improvement").otherwise("Stable"),
+    }
+
+
 def trends(tables: Tables, chronological: bool = False) -> DataFrame:
     """Mean of all years, mean of the latest year and their difference per student, unsorted.
 
@@ -97,22 +109,50 @@ def trends(tables: Tables, chronological: bool = False) -> DataFrame:
         per_year.groupBy("StudentOid")
         .agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.max(year).alias("latest"))
         .where(F.col("latest.rank").isNotNull())
-        .select(
-            "StudentOid",
-            ratio(F.col("total"), F.col("n")).alias("hist"),
-            ratio(F.col("latest.total"), F.col("latest.n")).alias("last"),
-        )
-        .withColumn("change", F.col("last") - F.col("hist"))
     )
-    change = snap(F.col("change"))
-    label = F.when(change < -TREND_DELTA, "Regression").when(change > TREND_DELTA, "Improvement").otherwise("Stable")
-    return per_student.join(_names(tables), "StudentOid").select(
-        "StudentOid",
-        "student_name",
-        half_up(F.col("hist"), 2).alias("historical_avg"),
-        half_up(F.col("last"), 2).alias("latest_avg"),
-        half_up(F.col("change"), 2).alias("delta"),
-        label.alias("trend_label"),
+    figures = [value.alias(name) for name, value in _trend(F.col("total"), F.col("n"), F.col("latest")).items()]
+    return per_student.join(_names(tables), "StudentOid").select("StudentOid", "student_name", *figures)
+
+
+def standings(tables: Tables) -> DataFrame:
+    """Trends, stability and years at once: the scores are read a single time for all of them.
+
+    The moments of a (student, year) stand for three groups: their student (a key of the dimension),
+    their name and their year label. They are merged by that expanded key, in the tasks before the
+    shuffle first. Columns: part ('student', 'name' or 'year'), StudentKey, StudentOid, student_name,
+    year_label (those of the part's key, else NULL), delta and trend_label of a student, score_stddev
+    of a name as in ``stability``.
+    """
+    rows = (
+        scores_by(tables, "StudentOid", "SchoolYearPeriodOid")
+        .join(_names(tables, "StudentKey"), "StudentOid")
+        .join(_years(tables), "SchoolYearPeriodOid", "left")
+    )
+    key = ["part", "StudentKey", "StudentOid", "student_name", "year_label"]
+    held = {"student": key[1:4], "name": key[3:4], "year": key[4:]}
+    groups = [
+        F.struct(F.lit(part).alias("part"), *[(F.col(c) if c in columns else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for c in key[1:]])
+        for part, columns in held.items()
+    ]
+    moments = ["SchoolYearPeriodOid", "n", "total", "squares"]
+    latest = F.max(F.struct(F.col("SchoolYearPeriodOid").alias("oid"), "total", "n"))
+    merged = (
+        rows.select(F.explode(F.array(*groups)).alias("group"), *moments)
+        .select("group.*", *moments)
+        .where((F.col("part") != "year") | F.col("year_label").isNotNull())
+        .groupBy(*key)
+        .agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"),
+             F.size(F.collect_set("SchoolYearPeriodOid")).alias("years_active"), latest.alias("latest"))
+    )
+    trend = _trend(F.col("total"), F.col("n"), F.col("latest"))
+    of_student = (F.col("part") == "student") & F.col("latest.oid").isNotNull()
+    of_name = (F.col("part") == "name") & (F.col("years_active") >= 2) & (F.col("n") >= 5)
+    spread = half_up(stddev_from_moments(F.col("n"), F.col("total"), F.col("squares")), 2)
+    return merged.where(of_student | of_name | (F.col("part") == "year")).select(
+        *key,
+        F.when(of_student, trend["delta"]).alias("delta"),
+        F.when(of_student, trend["trend_label"]).alias("trend_label"),
+        F.when(of_name, spread).alias("score_stddev"),
     )
 
 

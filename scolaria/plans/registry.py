@@ -13,6 +13,7 @@ from scolaria.functions.parsing import comma_decimal
 from scolaria.functions.schools import normalize_school
 from scolaria.operators import keys, load, reshape
 from scolaria.operators.periods import tag_periods
+from scolaria.operators.years import year_label
 from scolaria.plans import geography, pedagogy, performance, periods, presence, progression, risk, rollups, schools, shared, weather
 from scolaria.session import shared_folder
 from scolaria.sources import tables as source
@@ -28,7 +29,9 @@ SCHOOL = "SLS Leaders School"
 SCHOOL_YEAR = "7"
 CALENDAR_YEARS = {"next": "8", "none": "6"}  # a year with a calendar of its own, and one without any
 STUDENT = hashlib.md5(b"st42").hexdigest()
-SUBJECT = "ECONOMY ANODIZED STEEL"
+SCHOOL_YEAR_OID = hashlib.md5(b"sy2000").hexdigest()
+UNKNOWN_YEAR = "999"
+SUBJECT = "ECONOMY"
 FIRST_TERM = 6  # months 1..6 count as loaded in the incremental-load queries
 PREVIOUS_YEARS = "2024-09-01"  # school years that start earlier count as loaded
 
@@ -37,9 +40,10 @@ def _text_dates(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in columns})
 
 
-def _calendar_tag(t: Tables) -> DataFrame:
+def _calendar_tag(t: Tables, school_year: str | None = None) -> DataFrame:
+    """Every day of the date dimension, tagged by the calendar of a school year."""
     days = t["DimDate"].select(F.date_format("FullDate", "yyyy-MM-dd").alias("full_date"))
-    return tag_periods(days, "full_date", "2024-2025")
+    return tag_periods(days, "full_date", year_label(t, school_year))
 
 
 def _normalized_schools(t: Tables) -> DataFrame:
@@ -155,6 +159,8 @@ FIXED: dict[str, Query] = {
     "a2_regression_chronological": partial(progression.regression_detection, chronological=True),
     "a2_semester": progression.semester_comparison,
     "a2_progression_student": partial(progression.progression_by_student, student_oid=STUDENT),
+    "a1_kpis_oid": partial(performance.performance_kpis, school_year=SCHOOL_YEAR_OID),
+    "a1_kpis_unknown_year": partial(performance.performance_kpis, school_year=UNKNOWN_YEAR),
     "a5_outcomes_subject": partial(pedagogy.outcomes_by_report, subject=SUBJECT),
     "a5_subject_list": pedagogy.subject_list,
     "a9_school_list": schools.school_list,
@@ -220,6 +226,7 @@ ETL: dict[str, Query] = {
     "tranche_cast_report": lambda t: reshape.tranche_cast_report(_balances(t)),
     "key_copies": keys.dimension_key_copies,
     "calendar_tag": _calendar_tag,
+    **{f"calendar_tag_{name}": partial(_calendar_tag, school_year=year) for name, year in CALENDAR_YEARS.items()},
     "normalize_school": _normalized_schools,
 }
 

@@ -32,60 +32,105 @@ def risk_level(score: Column) -> Column:
     return F.when(exact >= HIGH_FROM, "High").when(exact >= MEDIUM_FROM, "Medium").otherwise("Low")
 
 
-def _academic(tables: Tables, school_year) -> DataFrame:
-    return scores_by(tables, "StudentOid", year_oid=resolve_year(tables, school_year)).select("StudentOid", "n", "total", "failed")
-
-
 def _students(tables: Tables) -> DataFrame:
     return tables["DimStudent"].where(F.col("StudentOid").isNotNull()).select(
         "StudentKey", "StudentOid", F.col("FullNameArab").alias("student_name")
     )
 
 
-def scored_students(tables: Tables, school_year=None) -> DataFrame:
-    """Risk of every student with scores, unsorted; inputs are rounded before they are weighted."""
+def _attended_and_paid(tables: Tables) -> DataFrame:
+    """Attendance and payments of every StudentOid, all its keys together.
+
+    Both facts are reduced to one row per StudentKey before they meet the dimension, so a hot student
+    costs one row per task; what is added up per Oid are rows of the dimension.
+    """
     payments = tables["FactStudentPayment"].where(F.col("StudentKey").isNotNull()).groupBy("StudentKey").agg(
         F.count(F.lit(1)).alias("payment_count")
     )
-    rows = (
-        _academic(tables, school_year)
-        .join(_students(tables), "StudentOid")
-        .join(attendance_by_student(tables), "StudentKey", "left")
-        .join(payments, "StudentKey", "left")
-        .select(
-            "StudentOid",
-            "student_name",
-            half_up(ratio(F.col("total"), F.col("n")), 2).alias("avg_score"),
-            F.coalesce(percent(F.col("absent"), F.col("records")), F.lit(0.0)).alias("absence_rate"),
-            percent(F.col("failed"), F.col("n")).alias("fail_rate_pct"),
-            F.coalesce("payment_count", F.lit(0)).alias("payment_count"),
-        )
-        .withColumn("risk", risk(F.col("avg_score"), F.col("absence_rate"), F.col("fail_rate_pct")))
+    attendance = attendance_by_student(tables).select("StudentKey", "records", "absent")
+    by_key = _students(tables).select("StudentKey", "StudentOid").join(attendance, "StudentKey", "left").join(payments, "StudentKey", "left")
+    return by_key.groupBy("StudentOid").agg(
+        F.min("StudentKey").alias("first_key"), *[F.sum(c).alias(c) for c in ("records", "absent", "payment_count")]
     )
-    return rows.withColumn("risk_score", half_up(F.col("risk"), 1)).withColumn("risk_level", risk_level(F.col("risk"))).drop("risk")
 
 
-def risk_scores(tables: Tables, school_year=None, top: int = 30) -> DataFrame:
-    rows = scored_students(tables, school_year)
-    return rows.orderBy(F.desc("risk_score"), "student_name", "StudentOid").limit(top).drop("StudentOid")
+def _academic(tables: Tables, school_year) -> DataFrame:
+    """One row per StudentOid with scores, with what it attended and paid if the dimension has it."""
+    scores = scores_by(tables, "StudentOid", year_oid=resolve_year(tables, school_year)).select("StudentOid", "n", "total", "failed")
+    return scores.join(_attended_and_paid(tables), "StudentOid", "left")
 
 
-def _unrounded(tables: Tables, school_year, how: str) -> DataFrame:
-    rows = _academic(tables, school_year).join(_students(tables), "StudentOid", how)
-    return rows.join(attendance_by_student(tables), "StudentKey", "left").select(
-        "StudentOid",
-        "student_name",
+def _exact_inputs() -> list[Column]:
+    return [
         ratio(F.col("total"), F.col("n")).alias("avg_raw"),
         F.coalesce(share(F.col("absent"), F.col("records")), F.lit(0.0)).alias("absence_raw"),
         share(F.col("failed"), F.col("n")).alias("fail_raw"),
+    ]
+
+
+def _shown_inputs() -> list[Column]:
+    return [
+        half_up(ratio(F.col("total"), F.col("n")), 2).alias("avg_score"),
+        F.coalesce(percent(F.col("absent"), F.col("records")), F.lit(0.0)).alias("absence_rate"),
+        percent(F.col("failed"), F.col("n")).alias("fail_rate_pct"),
+    ]
+
+
+def _shown_risk() -> Column:
+    return risk(F.col("avg_score"), F.col("absence_rate"), F.col("fail_rate_pct"))
+
+
+def _exact_risk() -> Column:
+    return risk(F.col("avg_raw"), F.col("absence_raw"), F.col("fail_raw"))
+
+
+def _flags() -> dict[str, Column]:
+    flag = lambda condition: condition.cast("int")
+    return {
+        "flag_low_score": flag(F.col("avg_raw") < LOW_SCORE),
+        "flag_high_absence": flag(F.col("absence_raw") > HIGH_ABSENCE),
+        "flag_high_fail_rate": flag(F.col("fail_raw") > HIGH_FAIL_RATE),
+    }
+
+
+def _warnings() -> Column:
+    return F.col("flag_low_score") + F.col("flag_high_absence") + F.col("flag_high_fail_rate")
+
+
+def scored_students(tables: Tables, school_year=None) -> DataFrame:
+    """Risk of every student with scores, unsorted; inputs are rounded before they are weighted."""
+    rows = _academic(tables, school_year).join(_students(tables), "StudentOid").select(
+        "StudentOid", "student_name", *_shown_inputs(), F.coalesce("payment_count", F.lit(0)).alias("payment_count")
+    )
+    return rows.withColumns({"risk_score": half_up(_shown_risk(), 1), "risk_level": risk_level(_shown_risk())})
+
+
+def assessed_students(tables: Tables, school_year=None) -> DataFrame:
+    """Every scored StudentOid once per name it has: what the list, the levels and the warnings say of it.
+
+    risk_level is that of the distribution, risk_score that of the list. ``known`` tells whether the
+    dimension has the student, ``first`` is true for one row of an Oid. The scores are read once.
+    """
+    rows = _academic(tables, school_year).join(_students(tables), "StudentOid", "left").select(
+        "StudentOid",
+        "student_name",
+        F.col("StudentKey").isNotNull().alias("known"),
+        F.col("StudentKey").eqNullSafe(F.col("first_key")).alias("first"),
+        *_shown_inputs(),
+        *_exact_inputs(),
     )
+    rows = rows.withColumns({"risk_score": half_up(_shown_risk(), 1), "risk_level": risk_level(_exact_risk()), **_flags()})
+    return rows.select("StudentOid", "student_name", "known", "first", "risk_score", "risk_level", _warnings().alias("warning_count"))
+
+
+def risk_scores(tables: Tables, school_year=None, top: int = 30) -> DataFrame:
+    rows = scored_students(tables, school_year)
+    return rows.orderBy(F.desc("risk_score"), "student_name", "StudentOid").limit(top).drop("StudentOid")
 
 
 def risk_distribution(tables: Tables, school_year=None) -> DataFrame:
     """Students, mean score and mean absence per level, the level taken on unrounded inputs."""
-    rows = _unrounded(tables, school_year, "left").withColumn(
-        "risk_level", risk_level(risk(F.col("avg_raw"), F.col("absence_raw"), F.col("fail_raw")))
-    )
+    rows = _academic(tables, school_year).select(*_exact_inputs()).withColumn("risk_level", risk_level(_exact_risk()))
     sums = rows.groupBy("risk_level").agg(
         F.count(F.lit(1)).alias("student_count"), sum_exact(F.col("avg_raw")).alias("scores"), sum_exact(F.col("absence_raw")).alias("absences")
     )
@@ -100,15 +145,8 @@ def risk_distribution(tables: Tables, school_year=None) -> DataFrame:
 
 def early_warnings(tables: Tables, school_year=None, top: int = 20) -> DataFrame:
     """Students with two or more of: low score, high absence, high fail rate."""
-    flag = lambda condition: condition.cast("int")
-    rows = (
-        _unrounded(tables, school_year, "inner")
-        .withColumn("flag_low_score", flag(F.col("avg_raw") < LOW_SCORE))
-        .withColumn("flag_high_absence", flag(F.col("absence_raw") > HIGH_ABSENCE))
-        .withColumn("flag_high_fail_rate", flag(F.col("fail_raw") > HIGH_FAIL_RATE))
-        .withColumn("warning_count", F.col("flag_low_score") + F.col("flag_high_absence") + F.col("flag_high_fail_rate"))
-        .where(F.col("warning_count") >= MIN_WARNINGS)
-    )
+    rows = _academic(tables, school_year).join(_students(tables), "StudentOid").select("StudentOid", "student_name", *_exact_inputs())
+    rows = rows.withColumns(_flags()).withColumn("warning_count", _warnings()).where(F.col("warning_count") >= MIN_WARNINGS)
     return (
         rows.orderBy(F.desc("warning_count"), "avg_raw", "student_name", "StudentOid")
         .limit(top)

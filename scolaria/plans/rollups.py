@@ -51,32 +51,39 @@ def year_progression(tables: Tables) -> DataFrame:
     return rows.groupBy("year_label").agg(_fixed_mean(F.col("avg_score"), 2).alias("avg_score")).orderBy("year_label")
 
 
-def progression_summary(tables: Tables) -> DataFrame:
-    """One row: years tracked, trends and stability of the displayed lists, greatest changes of all."""
-    moves = progression.trends(tables)
-    listed = progression.regression_detection(tables)
-    stable = progression.stability_index(tables)
-    parts = [
-        progression.student_years(tables).agg(F.count_distinct("year_label").alias("years_tracked")),
-        listed.agg(
-            F.count_if(F.col("trend_label") == "Improvement").alias("improving"),
-            F.count_if(F.col("trend_label") == "Regression").alias("regressing"),
-        ),
-        stable.agg(
-            F.count_if(F.col("score_stddev") < STABLE_BELOW).alias("stable_profiles"),
-            _fixed_mean(F.col("score_stddev"), 2).alias("avg_stddev"),
-            F.min_by("student_name", F.struct("score_stddev", "student_name")).alias("most_stable"),
-        ),
-        moves.agg(
-            F.min_by("student_name", F.when(F.col("trend_label") == "Regression", F.struct("delta", "student_name"))).alias(
-                "biggest_regression"
-            ),
-            F.max_by("student_name", F.when(F.col("trend_label") == "Improvement", F.struct("delta", "student_name"))).alias(
-                "biggest_improvement"
-            ),
-        ),
-    ]
-    return _side_by_side(parts)
+def progression_summary(tables: Tables, listed: int = 15, stable: int = 20) -> DataFrame:
+    """One row: years tracked, trends and stability of the displayed lists, greatest changes of all.
+
+    The lists are cut from one frame of standings by a rank within each of them; Spark drops what is
+    beyond the longest list in every task before the shuffle.  All years share rank 1.
+    """
+    is_student, trend = F.col("part") == "student", F.col("trend_label")
+    entry = lambda name, measure, condition: F.when(condition, F.struct(F.lit(name).alias("list"), measure.alias("measure")))
+    entries = F.array(
+        entry("listed", F.col("delta"), is_student),
+        entry("fall", F.col("delta"), is_student & (trend == "Regression")),
+        entry("rise", -F.col("delta"), is_student & (trend == "Improvement")),
+        entry("stable", F.col("score_stddev"), F.col("part") == "name"),
+        entry("years", F.lit(0.0), F.col("part") == "year"),
+    )
+    rows = progression.standings(tables).select(F.explode(F.array_compact(entries)).alias("entry"), "student_name", "StudentOid", "StudentKey", "trend_label")
+    rows = rows.select("entry.*", "student_name", "StudentOid", "StudentKey", "trend_label")
+    later_name = F.when(F.col("list") == "rise", F.col("student_name"))  # of equal rises the last name wins
+    order = Window.partitionBy("list").orderBy("measure", later_name.desc(), "student_name", "StudentOid", "StudentKey")
+    rows = rows.withColumn("rank", F.rank().over(order)).where(F.col("rank") <= max(listed, stable))
+    within = lambda name, n: (F.col("list") == name) & (F.col("rank") <= n)
+    first = lambda name: F.max(F.when(within(name, 1), F.col("student_name")))
+    spread = F.when(within("stable", stable), F.col("measure").cast("decimal(14,2)"))
+    return rows.agg(
+        F.count_if(F.col("list") == "years").alias("years_tracked"),
+        F.count_if(within("listed", listed) & (trend == "Improvement")).alias("improving"),
+        F.count_if(within("listed", listed) & (trend == "Regression")).alias("regressing"),
+        F.count_if(within("stable", stable) & (F.col("measure") < STABLE_BELOW)).alias("stable_profiles"),
+        half_up(ratio(F.sum(spread), F.count(spread)), 2).alias("avg_stddev"),
+        first("stable").alias("most_stable"),
+        first("fall").alias("biggest_regression"),
+        first("rise").alias("biggest_improvement"),
+    )
 
 
 def _side_by_side(parts: list[DataFrame]) -> DataFrame:
@@ -191,16 +198,22 @@ def report_summary(tables: Tables, school_year=None) -> DataFrame:
     return _side_by_side([reports, subjects])
 
 
-def risk_summary(tables: Tables, school_year=None) -> DataFrame:
+def risk_summary(tables: Tables, school_year=None, warned: int = 20) -> DataFrame:
     """One row: students at high and medium risk, students analysed, three-flag warnings of the
-    displayed list, the student of highest risk."""
-    level = lambda name: F.coalesce(F.sum(F.when(F.col("risk_level") == name, F.col("student_count"))), F.lit(0))
-    levels = risk.risk_distribution(tables, school_year).agg(
-        level("High").alias("high"), level("Medium").alias("medium"), F.coalesce(F.sum("student_count"), F.lit(0)).alias("analysed")
+    displayed list, the student of highest risk.
+
+    One frame and one aggregation: the warnings are listed by their number of flags, so those of three
+    fill the list first, and the rest of its order doesn't matter.
+    """
+    level = lambda name: F.count_if(F.col("first") & (F.col("risk_level") == name))
+    worst = F.when(F.col("known"), F.struct((-F.col("risk_score")).alias("least"), "student_name", "StudentOid"))
+    return risk.assessed_students(tables, school_year).agg(
+        level("High").alias("high"),
+        level("Medium").alias("medium"),
+        F.count_if("first").alias("analysed"),
+        F.least(F.lit(warned), F.count_if(F.col("known") & (F.col("warning_count") >= 3))).alias("three_flags"),
+        F.min_by("student_name", worst).alias("highest_risk"),
     )
-    warnings = risk.early_warnings(tables, school_year).agg(F.count_if(F.col("warning_count") >= 3).alias("three_flags"))
-    highest = risk.risk_scores(tables, school_year, top=1).agg(F.max("student_name").alias("highest_risk"))
-    return _side_by_side([levels, warnings, highest])
 
 
 def risk_top(tables: Tables, school_year=None, top: int = 15) -> DataFrame:

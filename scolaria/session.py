@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,13 +31,9 @@ def build_session(app_name: str = "scolaria", master: str | None = None, **conf:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which the driver and all executors share.
 
-    Only under a local master, where they are one process, may the setting be missing; elsewhere a folder of one machine
-    would give incomplete results, so its absence is an error.
+    A folder of one machine would give incomplete results on a cluster, so there is none to fall back on.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='scolaria-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/scolaria-{uuid.uuid4().hex}"

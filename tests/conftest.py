@@ -13,8 +13,9 @@ TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     conf = {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"}
+    conf["spark.checkpoint.dir"] = f"file://{tmp_path_factory.mktemp('shared')}"
     session = build_session("scolaria-tests", "local[4]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -181,10 +181,10 @@ def test_shared_folder_follows_the_session(master):
     assert first != second and first.startswith("hdfs://store/checkpoints/scolaria-")
 
 
-def test_no_folder_of_one_machine_on_a_cluster():
-    assert shared_folder(session_of("local[2]", None)).startswith("file:///")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session_of("yarn", None))
+def test_no_folder_of_one_machine():
+    for master in ("local[2]", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session_of(master, None))
 
 
 def test_report_without_months_loads_nothing(spark, billing, tmp_path):

@@ -1,10 +1,13 @@
 """Query semantics on a hand-made school, with results worked out by hand or by the plain joins."""
 
 import datetime as dt
+from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from checks import oracle
 from scolaria.plans import geography, pedagogy, performance, periods, presence, progression, risk, rollups, schools, shared, weather
 from tests.conftest import by_key, rows
 
@@ -327,3 +330,71 @@ def test_product_of_row_counts_beyond_a_long(spark, school, monkeypatch):
     monkeypatch.setattr(fanout, "student_exposure", lambda *a: exposure(*a).withColumns({c: F.col(c) * many for c in ("joined", "n", "passed")}))
     rates = {r.zone_name: r.absence_rate for r in geography.students_by_zone(school).collect()}
     assert rates and any(rate is not None for rate in rates.values())
+
+
+@pytest.fixture
+def doubled(spark, school):
+    """The school with two StudentOids that two rows of the dimension have, both with attendance and payments of their own."""
+    more = spark.createDataFrame(
+        [(20, "s2", "Amina the second", "Sousse", "SLS 1"), (21, "s6", "Dora", "", "HS1"), (22, None, "Nobody", "", "")], school["DimStudent"].schema
+    )
+    days = spark.createDataFrame(
+        [(50 + i, key, 20240914, checks, 0, "y1") for i, (key, checks) in enumerate([(20, 0), (20, 0), (21, 1), (21, 0), (22, 0)])],
+        school["FactStudentAttendance"].schema,
+    )
+    paid = spark.createDataFrame([(20, Decimal("1.00")), (21, Decimal("2.00")), (6, Decimal("3.00"))], school["FactStudentPayment"].schema)
+    return {
+        **school,
+        "DimStudent": school["DimStudent"].unionAll(more),
+        "FactStudentAttendance": school["FactStudentAttendance"].unionAll(days),
+        "FactStudentPayment": school["FactStudentPayment"].unionAll(paid),
+    }
+
+
+def plain_joins(tables, key, statements):
+    """Rows of a statement of the checks, on these tables."""
+    names = {
+        "fact_student_evaluation": "FactStudentEvaluation", "dim_evaluation_report": "DimEvaluationReport", "dim_student": "DimStudent",
+        "fact_student_attendance": "FactStudentAttendance", "fact_student_payment": "FactStudentPayment", "dim_school_year": "DimSchoolYear",
+    }
+    connection = duckdb.connect()
+    for view, name in names.items():
+        connection.register(view, tables[name].toArrow())
+    return [tuple(row) for row in connection.execute(statements[key]).fetchall()]
+
+
+def test_risk_of_a_doubled_student_oid(doubled):
+    """Keys of one Oid share their attendance and payments, in the lists under each of their names."""
+    queries = {"a6_risk_scores": risk.risk_scores, "a6_risk_distribution": risk.risk_distribution, "a6_early_warning": risk.early_warnings}
+    for year, of_year in ((None, False), ("2", "2")):
+        for key, query in queries.items():
+            want = plain_joins(doubled, key, oracle._risk(of_year))
+            assert rows(query(doubled, year)) == want, key
+    shared = [r for r in risk.risk_scores(doubled).collect() if r.student_name in ("Amina the second", "Amina") and r.avg_score == 10.85]
+    assert len(shared) == 2 and {(r.absence_rate, r.payment_count) for r in shared} == {(66.7, 3)}
+
+
+def test_risk_summary_of_a_doubled_student_oid(doubled):
+    levels = by_key(risk.risk_distribution(doubled))
+    (summary,) = rows(rollups.risk_summary(doubled))
+    assert summary[:3] == (levels.get("High", (0,))[0], levels.get("Medium", (0,))[0], sum(v[0] for v in levels.values()))
+    assert summary[3] == sum(r.warning_count >= 3 for r in risk.early_warnings(doubled).collect())
+    assert summary[4] == risk.risk_scores(doubled, top=1).first().student_name
+    assert rows(rollups.risk_summary(doubled, warned=0))[0][3] == 0
+
+
+def test_standings_hold_trends_and_stability(doubled):
+    frame = progression.standings(doubled)
+    students = frame.where("part = 'student'").select("StudentOid", "student_name", "delta", "trend_label")
+    names = frame.where("part = 'name'").select("student_name", "score_stddev")
+    order = lambda found: sorted(found, key=str)
+    assert order(rows(students)) == order(rows(progression.trends(doubled).select(*students.columns)))
+    assert order(rows(names)) == order(rows(progression.stability(doubled).select(*names.columns)))
+    labels = {r.year_label for r in progression.student_years(doubled).collect()}
+    assert {r.year_label for r in frame.where("part = 'year'").collect()} == labels
+
+
+def test_progression_summary_without_scores(school):
+    nothing = {**school, "FactStudentEvaluation": school["FactStudentEvaluation"].limit(0)}
+    assert rows(rollups.progression_summary(nothing)) == [(0, 0, 0, 0, None, None, None, None)]
+    assert rows(rollups.risk_summary(nothing)) == [(0, 0, 0, 0, None)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scolaria.operators import load, scores
 from scolaria.operators.keys import KeyLookup, not_loaded, resolve_keys
 from scolaria.operators.scores import report_scores
-from scolaria.plans import geography, pedagogy, performance, risk
+from scolaria.plans import geography, pedagogy, performance, risk, rollups
 
 
 @contextmanager
@@ -232,3 +232,15 @@ def test_hot_subject_is_split_in_the_outcomes(spark, school, tmp_path, monkeypat
         plan = final_plan(frame)
         assert frame.first().n == 299999
     assert "skew=true" in plan
+
+
+def test_summaries_read_the_scores_once(spark, school, tmp_path):
+    """All parts of a summary come from one scan of the score fact and few shuffles; lists are cut before theirs."""
+    path = str(tmp_path / "facts")
+    school["FactStudentEvaluation"].write.parquet(path)
+    stored = {**school, "FactStudentEvaluation": spark.read.parquet(path)}
+    for summary in (rollups.progression_summary, rollups.risk_summary):
+        plan = summary(stored)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
+    plan = rollups.progression_summary(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
