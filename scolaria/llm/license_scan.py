@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,8 @@ from scolaria.llm.shared import ascii_lower, row_key, text_or_empty, whole_rows,
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CONTAINMENT = 0.8
 
-Blocks = Callable[[DataFrame, Sequence[str], Sequence[str], Sequence[int]], DataFrame]
+#: Known words of a text that are looked at in one row.
+SEGMENT = 2048
 
 #: Phrase -> label.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -37,7 +38,8 @@ TEMPLATES: Mapping[str, Sequence[str]] = {
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
 
-#: Label -> words of which a block must have one. Without them little in these short templates is distinctive.
+#: Label -> words of which a block must have one, if its template has any. Without them little in these short
+#: templates is distinctive.
 DISTINCTIVE: Mapping[str, Sequence[str]] = {"bsl-1.0": ["boost"], "creative-commons": ["cc", "creative"]}
 
 
@@ -68,79 +70,93 @@ def _literal(words: Sequence[str]) -> Column:
     return F.array(*[F.lit(word) for word in words])
 
 
-def line_blocks(rows: DataFrame, first_words: Sequence[str], vocabulary: Sequence[str], sizes: Sequence[int]) -> DataFrame:
-    """row, block, span of every line with a first word: its words of the vocabulary, in this order. A line meets all templates."""
-    lines = rows.select("row", F.explode(F.split(text_or_empty(), "\n", -1)).alias("line")).select("row", words_of(F.col("line")).alias("line"))
-    lines = lines.where(F.arrays_overlap("line", _literal(first_words)))
-    return lines.select("row", F.array_intersect(_literal(vocabulary), "line").alias("block"), F.lit(0).alias("span"))
-
-
 def span_of(size: int) -> int:
-    """The words of a window for a template of size words: half as many again."""
+    """The words of a block for a template of size words: half as many again."""
     return size + size // 2
 
 
-def window_blocks(rows: DataFrame, first_words: Sequence[str], vocabulary: Sequence[str], sizes: Sequence[int]) -> DataFrame:
-    """row, block, span of the windows of the text's words that begin with a word of the vocabulary, across line ends.
+def _segments(known: str, reach: int) -> Column:
+    """The array of known words in pieces of SEGMENT, each with reach words more on both sides; own is where the piece begins."""
+    first = lambda s: F.greatest(s * SEGMENT - reach, F.lit(0))
+    piece = lambda s: F.slice(known, first(s) + 1, s * SEGMENT - first(s) + SEGMENT + reach)
+    last = F.floor((F.size(known) - 1) / SEGMENT).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda s: F.struct((s * SEGMENT - first(s)).alias("own"), piece(s).alias("near")))
+
+
+def _words(places: Column) -> Column:
+    return F.array_distinct(F.transform(places, lambda place: place["word"]))
+
 
-    There is a window of span_of(size) words for every size of a template; it meets templates of this size only. A window
-    that meets a template has the same words of it from the first of them on, so no other starts are needed. Only texts
-    with a first word, and of a text each different block of a span once.
+def anchors(rows: DataFrame, vocabulary: Sequence[str], least_with: Mapping[str, int], reach: int) -> DataFrame:
+    """row, word, at, region: the places of the words of least_with that have enough known words around them.
+
+    region holds the words of the vocabulary, with their places, less than reach words before or after; enough are
+    least_with[word] different ones. A text is read across line ends. Only what passes is kept of a text, and of a
+    text with very many known words a segment at a time.
     """
-    whole = rows.select("row", words_of(text_or_empty()).alias("words")).where(F.arrays_overlap("words", _literal(first_words)))
-    numbers = F.map_from_arrays(_literal(vocabulary), F.sequence(F.lit(0), F.lit(len(vocabulary) - 1)))
-    known = F.filter(F.transform("words", lambda word, i: F.struct(F.try_element_at(numbers, word).alias("n"), i.alias("i"))), lambda x: x["n"].isNotNull())
-    places = whole.select("row", known.alias("known"))
-    spans = sorted({span_of(size) for size in sizes})
+    whole = rows.select("row", words_of(text_or_empty()).alias("words")).where(F.arrays_overlap("words", _literal(sorted(least_with))))
+    known = F.filter(F.transform("words", lambda word, i: F.struct(word.alias("word"), i.alias("at"))), lambda place: place["word"].isin(list(vocabulary)))
+    pieces = whole.select("row", known.alias("known")).select("row", F.explode_outer(_segments("known", reach)).alias("piece")).select("row", "piece.*")
+    by_least = {n: [word for word, least in least_with.items() if least == n] for n in sorted(set(least_with.values()))}
+
+    def least_of(word: Column) -> Column:
+        return F.coalesce(*[F.when(word.isin(words), F.lit(n)) for n, words in by_least.items()])
+
+    def region(place: Column, k: Column) -> Column:
+        beside = F.slice("near", F.greatest(k - reach, F.lit(0)) + 1, 2 * reach + 1)
+        return F.filter(beside, lambda other: F.abs(other["at"] - place["at"]) < reach)
 
-    def window(x: Column, k: Column, span: int) -> Column:
-        near = F.filter(F.slice("known", k + 1, span), lambda y: y["i"] < x["i"] + span)
-        return F.struct(F.lit(span).alias("span"), F.array_sort(F.array_distinct(F.transform(near, lambda y: y["n"]))).alias("block"))
+    def held(place: Column, k: Column) -> Column:
+        own = place["word"].isin(list(least_with)) & (k >= F.col("own")) & (k < F.col("own") + SEGMENT)
+        enough = F.size(_words(region(place, k))) >= least_of(place["word"])
+        return F.when(own & enough, F.struct(place["word"].alias("word"), place["at"].alias("at"), region(place, k).alias("region")))
 
-    windows = lambda span: F.transform("known", lambda x, k: window(x, k, span))
-    every = F.concat(*map(windows, spans))
-    found = places.select("row", F.explode(F.array_distinct(every)).alias("at")).select("row", "at.*")
-    return found.select("row", F.transform("block", lambda n: F.get(_literal(vocabulary), n)).alias("block"), "span")
+    found = F.filter(F.transform("near", held), lambda anchor: anchor.isNotNull())
+    # An outer explode, as before an inner one Spark adds a filter on the size, which computes the array twice.
+    return pieces.select("row", F.explode_outer(found).alias("anchor")).where(F.col("anchor").isNotNull()).select("row", "anchor.*")
 
 
-def matched_templates(rows: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT, blocks_of: Blocks = line_blocks) -> DataFrame:
+def matched_templates(rows: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
     """row, found (labels), best (the greatest containment) of the rows (row, doc) with a block that meets a template.
 
-    A block is a line, or with window_blocks a run of words bounded by the template's length; containment is the share of a template's different words that the block has. Words are ordered by
-    the number of texts of the whole table that have them, rarest first. A block that meets a template has one of the
-    first words of it in this order (the prefix), enough words (length), and enough words left on both sides of a shared
-    one (position); only such pairs are compared. Words outside all templates can't be shared, so they are left out.
-    A block also needs one of the DISTINCTIVE words of the label, if there are any. The templates are a fixed list; what is broadcast has a row for each of their words at most.
+    A block is a run of span_of(words of the template) words of a text; containment is the share of a template's different
+    words that the block has. Words are ordered by the number of texts of the whole table that have them, rarest first. A
+    block that meets a template has one of the first words of it in this order (the prefix), so only the surroundings of
+    these are looked at: they must hold enough known words (length), then enough of the template's within a block's reach
+    (position). Then every block around the prefix word that begins with a word of the template is counted; one that meets
+    it has the same words of it from the first of them on. The work follows the number of prefix words, times a bound that
+    the templates set. The templates are a fixed list; what is broadcast has a row for each of their words at most.
     """
-    sentences = [(label, sentence) for label in templates for sentence in templates[label]]
-    sets = [(label, sorted(set(sentence.split()))) for label, sentence in sentences]
-    vocabulary = sorted({word for _, words in sets for word in words})
-    seen = rows.select(F.explode(F.array_intersect(_literal(vocabulary), words_of(text_or_empty()))).alias("word")).groupBy("word").count()
+    sentences = [(label, sentence.split()) for label in templates for sentence in templates[label]]
+    vocabulary = sorted({word for _, words in sentences for word in words})
+    seen = rows.select(F.explode_outer(F.array_intersect(_literal(vocabulary), words_of(text_or_empty()))).alias("word")).where("word IS NOT NULL").groupBy("word").count()
     frequency = {row["word"]: row["count"] for row in seen.collect()}
-    rank = {word: i for i, word in enumerate(sorted(vocabulary, key=lambda word: (frequency.get(word, 0), word)))}
     prefixes = []
-    for n, (label, words) in enumerate(sets):
-        ordered = sorted(words, key=rank.__getitem__)
+    least_with: dict[str, int] = {}
+    for label, sentence in sentences:
+        words = sorted(set(sentence), key=lambda word: (frequency.get(word, 0), word))
         least = needed(len(words), containment)
-        for place, word in enumerate(ordered[: len(words) - least + 1]):
-            prefixes.append(F.struct(F.lit(word).alias("word"), F.lit(n).alias("template"), F.lit(label).alias("label"), F.lit(place).alias("at"), F.lit(len(words)).alias("size"), F.lit(least).alias("least"), F.lit(span_of(len(sentences[n][1].split()))).alias("fits"), _literal(ordered).alias("words"), _literal(DISTINCTIVE.get(label, ordered)).alias("distinctive")))
-    first_words = sorted({word for _, words in sets for word in sorted(words, key=rank.__getitem__)[: len(words) - needed(len(words), containment) + 1]})
+        telling = [word for word in words if word in DISTINCTIVE.get(label, words)]
+        for word in words[: len(words) - least + 1]:
+            least_with[word] = min(least, least_with.get(word, least))
+            prefixes.append(F.struct(F.lit(word).alias("word"), F.lit(label).alias("label"), F.lit(len(words)).alias("size"), F.lit(least).alias("least"), F.lit(span_of(len(sentence))).alias("span"), _literal(words).alias("words"), _literal(telling).alias("telling")))
     table = rows.sparkSession.range(1).select(F.explode(F.array(*prefixes)).alias("prefix")).select("prefix.*")
+    reach = max(span_of(len(sentence)) for _, sentence in sentences)
+
+    met = anchors(rows, vocabulary, least_with, reach).join(F.broadcast(table), "word")
+    close = F.filter("region", lambda place: (F.abs(place["at"] - F.col("at")) < F.col("span")) & F.array_contains("words", place["word"]))
+    met = met.select("row", "label", "size", "least", "span", "telling", "at", close.alias("close")).where(F.size(_words(F.col("close"))) >= F.col("least"))
+
+    def common(first: Column) -> Column:
+        block = F.filter("close", lambda place: (place["at"] >= first["at"]) & (place["at"] < first["at"] + F.col("span")))
+        return F.when(F.arrays_overlap(_words(block), "telling"), F.size(_words(block))).otherwise(0)
 
-    ordered_words = sorted(vocabulary, key=rank.__getitem__)
-    blocks = blocks_of(rows, first_words, ordered_words, [len(sentence.split()) for _, sentence in sentences])
-    shared = blocks.select("row", "block", "span", F.posexplode("block").alias("place", "word")).join(F.broadcast(table), "word")
-    long_enough = F.size("block") >= F.col("least")
-    ahead, left = F.least("at", "place"), F.least(F.col("size") - F.col("at"), F.size("block") - F.col("place"))
-    same_span = (F.col("span") == 0) | (F.col("span") == F.col("fits"))
-    told = F.arrays_overlap("block", "distinctive")
-    candidates = shared.where(same_span & told & long_enough & (ahead + left >= F.col("least")))
-    compared = candidates.select("row", "label", "size", "least", F.size(F.array_intersect("words", "block")).alias("common"))
-    met = compared.where(F.col("common") >= F.col("least"))
+    best = F.array_max(F.transform(F.filter("close", lambda place: place["at"] <= F.col("at")), common))
+    met = met.select("row", "label", "size", "least", best.alias("common")).where(F.col("common") >= F.col("least"))
     return met.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("size")).alias("best"))
 
 
-def scan_licenses(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT, blocks_of: Blocks = line_blocks) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row of docs (doc_id, text).
 
     Words are runs of digits, letters a-z after lower-casing A-Z, and code points beyond ASCII; a null text has none.
@@ -150,7 +166,7 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMP
     scanned one by one; an empty table gives an empty table; other columns are left out.
     """
     rows = whole_rows(docs).select("doc", row_key(F.col("doc.doc_id"), F.col("doc.text")).alias("row"))
-    found = written(matched_templates(rows, templates, containment, blocks_of))
+    found = written(matched_templates(rows, templates, containment))
     read = rows.select("row", F.col("doc.doc_id").alias("doc_id"), words_of(text_or_empty()).alias("words"))
     places = read.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), *[phrase_places("words", phrase).alias(label) for phrase, label in PHRASES.items()])
     every = F.concat(*[F.col(f"`{label}`") for label in PHRASES.values()])

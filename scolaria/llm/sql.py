@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from scolaria.llm.license_scan import PHRASES, TEMPLATES
+from scolaria.llm.license_scan import CONTAINMENT, DISTINCTIVE, PHRASES, TEMPLATES, needed, span_of
 
 SPACE = "concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13))"
 UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
+#: A row counts once for a line, whether or not another row has its id.
 LINES = f"""
+WITH numbered AS (SELECT row_number() OVER () AS doc, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 split_lines AS (
-  SELECT doc_id, pos, line, translate(trim(line, {SPACE}), {UPPER}, {LOWER}) AS line_key
-  FROM (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line
-        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM {{documents}}) a) b),
+  SELECT doc, doc_id, pos, line, translate(trim(line, {SPACE}), {UPPER}, {LOWER}) AS line_key
+  FROM (SELECT doc, doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM numbered) a),
 shared_keys AS (
-  SELECT line_key FROM split_lines WHERE length(line_key) >= 1 GROUP BY line_key HAVING count(DISTINCT doc_id) >= 10),
+  SELECT line_key FROM split_lines WHERE length(line_key) >= 1 GROUP BY line_key HAVING count(DISTINCT doc) >= 10),
 line_kept AS (
-  SELECT doc_id, count(*) AS n_lines, count(s.line_key) AS n_dropped,
+  SELECT doc, any_value(doc_id) AS doc_id, count(*) AS n_lines, count(s.line_key) AS n_dropped,
          coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE s.line_key IS NULL), '') AS kept
-  FROM split_lines l LEFT JOIN shared_keys s ON l.line_key = s.line_key GROUP BY doc_id)
+  FROM split_lines l LEFT JOIN shared_keys s ON l.line_key = s.line_key GROUP BY doc)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM line_kept
 """
 
 QUALITY = f"""
@@ -62,27 +64,32 @@ def _phrase(phrase: str) -> str:
     return f"list_filter(range(1, len(words) + 1), lambda i: {same})"
 
 
-_SETS = ", ".join(f"('{label}', {sorted(set(sentence.split()))})" for label, sentences in TEMPLATES.items() for sentence in sentences)
+_SETS = ", ".join(
+    f"('{label}', {words}, {[word for word in words if word in DISTINCTIVE.get(label, words)]}, {needed(len(words), CONTAINMENT)}, {span_of(len(sentence.split()))})"
+    for label, sentences in TEMPLATES.items() for sentence in sentences for words in [sorted(set(sentence.split()))]
+)
 _PLACES = f"list_concat({', '.join(_phrase(phrase) for phrase in PHRASES)})"
 _BASE = ", ".join(f"CASE WHEN len({_phrase(phrase)}) > 0 THEN '{label}' END" for phrase, label in PHRASES.items())
 
+#: Every window of a template's span that starts with a word of the template, in the texts with enough of its words.
 LICENSES = f"""
-WITH templates(label, wanted) AS (VALUES {_SETS}),
-word_lists AS (SELECT doc_id, {_words("coalesce(text, '')")} AS words FROM documents),
+WITH templates(label, wanted, telling, least, span) AS (VALUES {_SETS}),
+word_lists AS (SELECT row_number() OVER () AS doc, doc_id, {_words("coalesce(text, '')")} AS words FROM documents),
 base AS (
-  SELECT doc_id, len(words) AS n_words, {_PLACES} AS places, list_filter([{_BASE}], lambda l: l IS NOT NULL) AS base_list FROM word_lists),
+  SELECT doc, doc_id, len(words) AS n_words, {_PLACES} AS places, list_filter([{_BASE}], lambda l: l IS NOT NULL) AS base_list FROM word_lists),
+starts AS (
+  SELECT doc, label, wanted, telling, least, span, words, unnest(range(1, len(words) + 1)) AS i
+  FROM word_lists, templates WHERE len(list_intersect(words, wanted)) >= least),
 blocks AS (
-  SELECT doc_id, list_distinct({_words("line")}) AS block
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) a),
-met AS (
-  SELECT doc_id, label, len(list_intersect(block, wanted)) / len(wanted) AS share FROM blocks, templates
-  WHERE len(list_intersect(block, wanted)) >= 0.8 * len(wanted)),
-found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS best FROM met GROUP BY doc_id)
+  SELECT doc, label, least, len(wanted) AS size, list_intersect(words[i:i + span - 1], wanted) AS block, telling
+  FROM starts WHERE list_contains(wanted, words[i])),
+met AS (SELECT doc, label, len(block) / size AS share FROM blocks WHERE len(block) >= least AND list_has_any(block, telling)),
+found AS (SELECT doc, list(DISTINCT label) AS labels, max(share) AS best FROM met GROUP BY doc)
 SELECT b.doc_id, n_words, len(places) AS n_base, list_min(places) - 1 AS first_word, list_max(places) - 1 AS last_word,
        array_to_string(list_sort(base_list), ',') AS base_labels,
        array_to_string(list_sort(list_distinct(list_concat(base_list, coalesce(labels, CAST([] AS VARCHAR[]))))), ',') AS labels,
        CASE WHEN len(base_list) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
-FROM base b LEFT JOIN found f ON b.doc_id = f.doc_id
+FROM base b LEFT JOIN found f ON b.doc = f.doc
 """
 
 COPIES = f"""
@@ -194,7 +201,7 @@ FROM leaves l JOIN sources s ON l.key = s.name JOIN {_AT_ROOT} f ON l.doc_id = f
 
 STATEMENTS: dict[str, str] = {
     "op2_license_scan": LICENSES,
-    "op4_line_dedup": f"WITH {LINES.format(documents='documents')} SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM line_kept",
+    "op4_line_dedup": LINES,
     "op7_quality_rules": QUALITY,
     "op11_merkle_manifest": MANIFEST,
     "op12_filter_audit": FILTER_AUDIT,

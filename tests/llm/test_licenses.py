@@ -1,8 +1,12 @@
+import random
 import re
+import time
 
+import duckdb
 from pyspark.sql import functions as F
 
-from scolaria.llm.license_scan import PHRASES, TEMPLATES, matched_templates, needed, scan_licenses, window_blocks
+from scolaria.llm import license_scan
+from scolaria.llm.license_scan import DISTINCTIVE, PHRASES, TEMPLATES, matched_templates, needed, scan_licenses, span_of
 from scolaria.llm.shared import row_key, whole_rows
 from tests.llm.conftest import CLASHES, ODD
 
@@ -14,15 +18,16 @@ def words_of(text):
 
 
 def contained(text, templates, least):
-    """label -> greatest share of a template's words in one line."""
-    out = {}
-    for line in (text or "").split("\n"):
-        block = set(words_of(line))
-        for label, sentences in templates.items():
-            for sentence in sentences:
-                wanted = set(sentence.split())
-                if len(wanted & block) >= needed(len(wanted), least):
-                    out[label] = max(out.get(label, 0), len(wanted & block) / len(wanted))
+    """label -> greatest share of a template's words in a run of half as many words again as the template has."""
+    out, words = {}, words_of(text)
+    for label, sentences in templates.items():
+        for sentence in sentences:
+            wanted, span = set(sentence.split()), span_of(len(sentence.split()))
+            telling = wanted & set(DISTINCTIVE.get(label, wanted))
+            blocks = [wanted & set(words[k : k + span]) for k in range(len(words)) if words[k] in wanted]
+            most = max((len(block) for block in blocks if block & telling), default=0)
+            if most >= needed(len(wanted), least):
+                out[label] = max(out.get(label, 0), most / len(wanted))
     return out
 
 
@@ -53,20 +58,33 @@ def test_scan_against_plain_loops(docs_of):
     assert scan_licenses(docs_of([])).collect() == []
 
 
-def test_filters_lose_no_pair(docs_of):
-    """Random small templates and blocks, at every threshold: the join finds what comparing all pairs finds."""
-    import random
+def rows_of(frame):
+    return whole_rows(frame).select("doc", row_key(F.col("doc.doc_id"), F.col("doc.text")).alias("row"))
+
 
+def test_filters_lose_no_pair(docs_of, monkeypatch):
+    """Random small templates and texts, at every threshold: the join finds what counting every block finds, also across segments."""
     r = random.Random(9)
-    letters = "abcdefghij"
-    templates = {f"t{i}": [" ".join(r.sample(letters, r.randint(2, 7)))] for i in range(15)}
-    pairs = [(i, "\n".join(" ".join(r.choices(letters[: r.randint(3, 10)], k=r.randint(0, 9))) for _ in range(3))) for i in range(120)]
-    rows = whole_rows(docs_of(pairs)).select("doc", row_key(F.col("doc.doc_id"), F.col("doc.text")).alias("row"))
-    for least in (0.5, 0.8, 1.0):
+    letters = "abcdefghijklmnop"
+    templates = {f"t{i}": [" ".join(r.choices(letters, k=r.randint(2, 7)))] for i in range(12)}
+    pairs = [(i, "".join(r.choice(letters[: r.randint(2, 16)]) + r.choice([" ", " ", "\n", " z "]) for _ in range(r.choice([0, 3, 10, 80])))) for i in range(100)]
+    rows = rows_of(docs_of(pairs))
+    for least, segment in ((0.5, 2048), (0.8, 7), (1.0, 1)):
+        monkeypatch.setattr(license_scan, "SEGMENT", segment)
         met = matched_templates(rows, templates, least)
         got = {r.doc.doc_id: (set(r.found), r.best) for r in rows.join(met, "row").collect()}
         want = {i: (set(found), max(found.values())) for i, text in pairs if (found := contained(text, templates, least))}
-        assert got == want
+        assert got == want and len(want) > 10
+
+
+def test_time_follows_the_length_of_a_text(docs_of):
+    """A text of 200 000 words, a third of them of templates, in one row."""
+    r = random.Random(4)
+    known = [word for sentences in TEMPLATES.values() for sentence in sentences for word in sentence.split()]
+    text = " ".join(r.choice(known) if r.random() < 0.33 else f"w{r.randrange(5000)}" for _ in range(200_000))
+    start = time.perf_counter()
+    (found,) = scan_licenses(docs_of([(1, text + " " + TEMPLATES["isc"][0])])).collect()
+    assert "isc" in found.labels and time.perf_counter() - start < 60
 
 
 def test_labels_do_not_run_into_each_other():
@@ -96,26 +114,31 @@ def test_wrapped_notices(spark, docs_of, tmp_path):
 
 def test_windows_against_plain_loops(docs_of):
     pairs = [*enumerate([*TEXTS, *WRAPPED.values(), "x " * 50 + "\n".join(TEXTS)], 100), *ODD]
-    rows = whole_rows(docs_of(pairs)).select("doc", row_key(F.col("doc.doc_id"), F.col("doc.text")).alias("row"))
-    want = {}
-    for i, text in pairs:
-        words = words_of(text) if len(text or "") < 10_000 else []
-        for label, sentences in TEMPLATES.items():
-            for sentence in sentences:
-                wanted, span = set(sentence.split()), len(sentence.split()) * 3 // 2
-                most = max((len(wanted & set(words[k : k + span])) for k in range(len(words))), default=0)
-                if most >= needed(len(wanted), 0.8):
-                    found, best = want.get(i, (set(), 0))
-                    want[i] = (found | {label}, max(best, most / len(wanted)))
-    met = matched_templates(rows, blocks_of=window_blocks)
+    rows = rows_of(docs_of(pairs))
+    want = {i: (set(found), max(found.values())) for i, text in pairs if (found := contained(text, TEMPLATES, 0.8))}
+    met = matched_templates(rows)
     assert {r.doc.doc_id: (set(r.found), r.best) for r in rows.join(met, "row").collect()} == want
 
 
+def test_statement_on_wrapped_notices(spark, docs_of, tmp_path):
+    """The SQL of the query takes the same blocks: notices that wrap, other licenses' words, rows with one id."""
+    from scolaria.llm.sql import STATEMENTS
+
+    others = ["Distributed under the Academic Software License, version 1.0", " and so on and on ".join(TEMPLATES["unlicense"][0].split()), None, ""]
+    pairs = [*enumerate([*TEXTS, *WRAPPED.values(), *others], 1), (3, WRAPPED["bsd"]), (3, "nothing")]
+    docs = docs_of(pairs)
+    connection = duckdb.connect()
+    connection.register("documents", docs.toArrow())
+    columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    want = connection.execute(f"SELECT {', '.join(columns)} FROM ({STATEMENTS['op2_license_scan']})").fetchall()
+    assert sorted(map(tuple, scan_licenses(docs).select(*columns).collect()), key=str) == sorted(want, key=str)
+
+
 def test_common_words_are_no_notice(docs_of):
     """Other licenses with the common words of a short template, and a template's words spread over a long line."""
     texts = [
         "Distributed under the Academic Software License, version 1.0", "Licensed under the terms set by Acme, release 4.0",
         " and so on and on ".join(TEMPLATES["unlicense"][0].split()), "Distributed under the Boost Software License, version 1.0", "licensed under CC BY 4.0",
     ]
-    got = {r.doc_id: r.labels for r in scan_licenses(docs_of(enumerate(texts)), blocks_of=window_blocks).collect()}
+    got = {r.doc_id: r.labels for r in scan_licenses(docs_of(enumerate(texts))).collect()}
     assert got == {0: "", 1: "", 2: "", 3: "bsl-1.0", 4: "cc-by,creative-commons"}
