@@ -13,7 +13,7 @@ MIN_CHARS = 1
 
 def _key_digest(line: Column, min_chars: int) -> Column:
     key = ascii_lower(F.btrim(line, F.lit(ASCII_SPACE)))
-    return F.when(F.length(key) >= min_chars, F.unhex(F.md5(key)))
+    return F.when(F.length(key) >= min_chars, F.md5(key))  # as text: array_distinct hashes texts, but compares binaries pair by pair
 
 
 def drop_shared_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -24,18 +24,19 @@ def drop_shared_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_c
     their lines; a row counts once however often it repeats a line, equal rows count one each. Other lines keep their
     bytes and order. A row that loses every line has the empty text; an empty table gives an empty table.
 
-    Lines are compared by 128-bit digests, so that text moves only once, to meet the positions to drop.
+    Lines are compared by 128-bit digests, so that text moves only once, to meet the positions to drop. The generators are
+    outer ones: no array is empty, and before an inner one Spark filters by its size, which digests every line twice.
     """
     rows = whole_rows(docs).select("doc", row_key(F.col("doc.doc_id"), F.col("doc.text")).alias("row"), F.split(text_or_empty(), "\n", -1).alias("lines"))
     digests = F.transform("lines", lambda line: _key_digest(line, min_chars))
     shared = written(
-        rows.select(F.explode(F.array_distinct(digests)).alias("digest"))
+        rows.select(F.explode_outer(F.array_distinct(digests)).alias("digest"))
         .where(F.col("digest").isNotNull())
         .groupBy("digest").agg(F.count(F.lit(1)).alias("documents"))
         .where(F.col("documents") >= min_documents)
         .select("digest")
     )
-    places = rows.select("row", F.posexplode(digests).alias("place", "digest")).where(F.col("digest").isNotNull())
+    places = rows.select("row", F.posexplode_outer(digests).alias("place", "digest")).where(F.col("digest").isNotNull())
     dropped = places.join(shared, "digest").groupBy("row").agg(F.sort_array(F.collect_set("place")).alias("places"))
     met = rows.drop("lines").join(dropped, "row", "left").select(
         "doc", F.split(text_or_empty(), "\n", -1).alias("lines"), F.coalesce("places", F.array().cast("array<int>")).alias("places")

@@ -1,4 +1,5 @@
 import hashlib
+import time
 from collections import Counter
 
 from scolaria.llm.line_dedup import drop_shared_lines
@@ -48,3 +49,29 @@ def test_query_over_the_table(spark, sf_dir):
     want = sorted((i, n, d, hashlib.sha256(kept.encode()).hexdigest()) for i, n, d, kept in brute(pairs, 10))
     got = sorted((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in QUERIES["op4_line_dedup"](spark, sf_dir).collect())
     assert got == want
+
+
+def test_time_follows_the_lines_of_a_text(docs_of):
+    """A million different lines in one row, some of them in ten other rows."""
+    text = "\n".join(f"line {i}" for i in range(1_000_000))
+    pairs = [(0, text)] + [(i, "line 7\nline 999999") for i in range(1, 10)]
+    start = time.perf_counter()
+    got = {r.doc.doc_id: r for r in drop_shared_lines(docs_of(pairs)).collect()}
+    assert time.perf_counter() - start < 60
+    assert got[0].n_lines == 1_000_000 and got[0].n_dropped == 2 and got[0].kept == text.replace("line 7\n", "", 1).removesuffix("\nline 999999")
+    assert got[5].kept == ""
+
+
+def test_statement_on_repeated_ids(docs_of):
+    """Rows that share an id count one by one, in the query as in its SQL."""
+    import duckdb
+
+    from scolaria.llm.sql import STATEMENTS
+
+    pairs = [(i // 3, "shared\nown " + str(i)) for i in range(10)] + [(50, "nine\nshared")] + [(60, "nine")] * 8 + [(70, None), (70, None)]
+    docs = docs_of(pairs)
+    connection = duckdb.connect()
+    connection.register("documents", docs.toArrow())
+    want = connection.execute(f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({STATEMENTS['op4_line_dedup']})").fetchall()
+    got = [(i, n, d, hashlib.sha256(kept.encode()).hexdigest()) for i, n, d, kept in result(drop_shared_lines(docs))]
+    assert sorted(got) == sorted(want)
