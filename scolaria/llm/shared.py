@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +14,26 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
+T = TypeVar("T")
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from one of its tasks to the next: one object, made when it is first asked for.
+
+    Workers live on through all stages of an application, so whoever asks for another name has the last one dropped.
+    """
+    if name not in _KEPT:
+        drop_kept()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def drop_kept() -> None:
+    """For tasks that keep nothing: frees what an earlier stage has left in their worker."""
+    _KEPT.clear()
+
+
 def written(frame: DataFrame) -> DataFrame:
     """frame as a table in the shared folder: its lineage ends there, so a lost executor costs a read and no recomputation."""
     path = shared_folder(frame.sparkSession)

@@ -10,8 +10,8 @@ from scolaria.llm.decontaminate import shingle_counts, words_of
 from tests.llm.conftest import CLASHES, ODD
 from tests.llm.test_decontaminate import brute as brute_contamination
 from tests.llm.test_line_dedup import brute as brute_lines
-from tests.llm.test_near_copies import brute as brute_components
-from tests.llm.test_near_copies import plain_fingerprint
+from tests.llm.test_near_copies import groups
+from tests.llm.test_near_text import shingles, similar
 
 
 def pairs_of(frame):
@@ -41,16 +41,17 @@ def test_every_stage_against_a_plain_version(spark, sf_dir):
     assert all(r.n_chars == len(r.text) for r in out.collect())
 
     docs, out = out, corpus_pipeline.written(stages["simhash_near_dedup"](spark, out, sf_dir))
-    fps = {i: plain_fingerprint(text) for i, text in pairs_of(docs)}
-    root, least = brute_components(np.array(list(fps.values()), np.uint64), 2), {}
-    for i, f in fps.items():
-        least[root[f]] = min(least.get(root[f], i), i)
-    assert out.columns == columns and pairs_of(out) == [p for p in pairs_of(docs) if p[0] in set(least.values())]
+    sets = {i: shingles(text) for i, text in pairs_of(docs)}
+    ids, alike = list(sets), []
+    for k, i in enumerate(ids):
+        alike += [(i, j) for j in ids[:k] if similar(sets[i], sets[j])]  # two empty sets are alike
+    root = groups(ids, alike)
+    assert out.columns == columns and pairs_of(out) == [p for p in pairs_of(docs) if p[0] in set(root.values())]
 
     docs, out = out, corpus_pipeline.written(stages["decontamination"](spark, out, sf_dir))
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
-    shingles = {s for _, text in items for s in shingle_counts(words_of(text))}
-    held = lambda text: bool(shingles & set(shingle_counts(words_of(text)))) and bool(brute_contamination(text, items))
+    of_items = {s for _, text in items for s in shingle_counts(words_of(text))}
+    held = lambda text: bool(of_items & set(shingle_counts(words_of(text)))) and bool(brute_contamination(text, items))
     assert out.columns == columns and pairs_of(out) == [p for p in pairs_of(docs) if not held(p[1])]
     assert out.count() < docs.count()
 
