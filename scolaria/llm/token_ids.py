@@ -1,112 +1,216 @@
-"""Token ids of many texts by a tokenizer file, each different chunk of text encoded once."""
+"""Token ids of many texts by a tokenizer file, each different chunk of text and each different word encoded once."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Sequence
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Sequence
 from itertools import chain
 
 import numpy as np
+import regex
+
+from scolaria.llm.shared import kept
 
 #: A chunk is white space and what follows up to the next white space. No pre-token of either tokenizer reaches from a
 #: character that is no white space over to white space, so the ids of a text are those of its chunks, one after another.
 CHUNK = re.compile(r"[ \n]+[^ \n]*|[^ \n]+")
-MAX_CHUNKS = 700_000
-JOINED = 2000  # chunks encoded as one text
+#: What a worker remembers: chunks, and code points of them; then it starts afresh. Some 200 MB, dropped by the next stage.
+MAX_CHUNKS, MAX_CHARS = 700_000, 16_000_000
+JOINED = 2000  # keys encoded as one text
 MARK = "\0"
-MARK_IN_VOCABULARY = "\u0100"  # how byte-level vocabularies write the byte 0
+MARK_IN_VOCABULARY = "Ā"  # how byte-level vocabularies write the byte 0
+
+#: Fixed value: how a byte-level pre-tokenizer parts a text.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Chunks that no normalizer changes but for their case, and whose case is the same in all libraries. Without "<", which
+#: special tokens and the ends of words are written with.
+PLAIN = re.compile(r" ?[!-;=-~À-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte -> the letter that byte-level vocabularies write for it: printable ones themselves, the rest from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(0x100 + n) for n, byte in enumerate(others)}
+
+
+LETTERS = _byte_letters()
+
+#: The ids of some keys in a row, and the number of ids of each.
+Coded = tuple[np.ndarray, np.ndarray]
 
 
 class _Codes(dict):
-    """chunk -> number, a new one for each chunk asked for the first time; these lie in fresh until they are encoded."""
+    """key -> number, a new one for each key asked for the first time; these lie in fresh until they are learned."""
 
     def __init__(self) -> None:
         super().__init__()
         self.fresh: list[str] = []
 
-    def __missing__(self, chunk: str) -> int:
-        code = self[chunk] = len(self)
-        self.fresh.append(chunk)
+    def __missing__(self, key: str) -> int:
+        code = self[key] = len(self)
+        self.fresh.append(key)
         return code
 
 
+class _Table:
+    """The ids of keys, learned when they are first asked for."""
+
+    def __init__(self, learn: Callable[[list[str]], Coded]) -> None:
+        self.learn = learn
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes = _Codes()
+        self.ids = np.empty(1 << 16, np.uint32)
+        self.starts = np.zeros(1, np.int64)
+        self.chars = 0
+
+    def _learn(self) -> None:
+        fresh, self.codes.fresh = self.codes.fresh, []
+        self.chars += sum(map(len, fresh))
+        ids, sizes = self.learn(fresh)
+        first = int(self.starts[-1])
+        if first + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:first], np.empty(2 * len(ids) + first, np.uint32)])
+        self.ids[first : first + len(ids)] = ids
+        self.starts = np.concatenate([self.starts, first + np.cumsum(sizes)])
+
+    def gather(self, keys: Iterable[str], n: int) -> Coded:
+        """The ids of n keys, one after another."""
+        code = np.fromiter(map(self.codes.__getitem__, keys), np.int64, n)
+        if self.codes.fresh:
+            self._learn()
+        first = self.starts[code]
+        sizes = self.starts[code + 1] - first
+        ends = np.cumsum(sizes)
+        first -= ends - sizes
+        places = np.repeat(first, sizes)
+        places += np.arange(len(places))
+        return self.ids[places], sizes
+
+
+def _totals(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of values of these lengths."""
+    sums = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(counts)
+    return sums[ends] - sums[ends - counts]
+
+
 class ChunkEncoder:
-    """Encodes texts with a tokenizer file. Keeps the ids of up to about max_chunks chunks between calls, then starts afresh."""
+    """Encodes texts as the tokenizers library does with a file, special tokens in a text included.
+
+    Chunks are learned once. A plain one is first parted into its words by the file's own pattern, and these go to the
+    file's model without its normalizer, which is most of the library's time; the others go through the whole of it.
+    """
 
-    def __init__(self, path: str, max_chunks: int = MAX_CHUNKS) -> None:
+    def __init__(self, path: str, max_chunks: int = MAX_CHUNKS, max_chars: int = MAX_CHARS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.max_chunks = max_chunks
+        self.max_chunks, self.max_chars = max_chunks, max_chars
         self.drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
         self.drops_case = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.mark = f" {MARK} " if self.drops_space else MARK
         own = self.tokenizer.encode(MARK, add_special_tokens=False)
         holders = [token for token in self.tokenizer.get_vocab() if MARK_IN_VOCABULARY in token]
         self.mark_id = own.ids[0] if len(own.ids) == 1 and {token.removesuffix("</w>") for token in holders} == {MARK_IN_VOCABULARY} else None
-        self._clear()
+        file = json.loads(self.tokenizer.to_str())
+        self.special = re.compile("|".join(re.escape(token["content"]) for token in file["added_tokens"]) or r"(?!)", re.I)
+        self.pattern = self._pattern_of(file) if self.mark_id is not None else None
+        if self.pattern:
+            bare = file | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+            self.model = Tokenizer.from_str(json.dumps(bare))
+        self.words, self.chunks = _Table(self._learn_words), _Table(self._learn_chunks)
+
+    @staticmethod
+    def _pattern_of(file: dict) -> regex.Pattern | None:
+        """The pattern that parts a text into pre-tokens, if the file is of a known kind."""
+        steps = file["pre_tokenizer"] or {}
+        steps = steps.get("pretokenizers", [steps])
+        normal = (file.get("normalizer") or {}).get("normalizers", [file["normalizer"]] if file.get("normalizer") else [])
+        last = steps[-1]
+        if last.get("type") != "ByteLevel" or last.get("add_prefix_space") or {step["type"] for step in normal} - {"NFC", "Replace", "Lowercase"}:
+            return None
+        if len(steps) == 1 and last.get("use_regex", True):
+            return regex.compile(BYTE_LEVEL)
+        if len(steps) == 2 and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not last["use_regex"]:
+            return regex.compile(steps[0]["pattern"]["Regex"])
+        return None
+
+    def _parted(self, encode: Callable[[list[str]], list], keys: list[str], mark: str) -> list[np.ndarray]:
+        """The ids of each key; many are encoded as one text with a mark between them. No token but its own holds the mark."""
+        out: list[np.ndarray] = []
+        for first in range(0, len(keys), JOINED):
+            ids = np.array(encode([mark.join(keys[first : first + JOINED])])[0].ids, np.uint32)
+            marks = np.flatnonzero(ids == self.mark_id)
+            out += [ids[a:b] for a, b in zip([0, *(marks + 1).tolist()], [*marks.tolist(), len(ids)])]
+        return out
 
-    def _clear(self) -> None:
-        self.known = _Codes()
-        self.table = np.empty(1 << 16, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+    def _words(self, chunk: str) -> list[str]:
+        if self.drops_case:
+            chunk = chunk.lower()
+        return [chunk] if chunk.isalpha() or chunk[1:].isalpha() and chunk[0] == " " else self.pattern.findall(chunk)
+
+    def _learn_words(self, words: list[str]) -> Coded:
+        as_letters = [word if word.isascii() and word[0] != " " else word.encode().decode("latin-1").translate(LETTERS) for word in words]
+        coded = self._parted(lambda texts: self.model.encode_batch_fast(texts, add_special_tokens=False), as_letters, f" {MARK_IN_VOCABULARY} ")
+        return np.concatenate(coded), np.fromiter(map(len, coded), np.int64, len(coded))
+
+    def _learn_chunks(self, chunks: list[str]) -> Coded:
+        plain = np.array([self.pattern is not None and PLAIN.fullmatch(chunk) is not None for chunk in chunks], bool)
+        sizes = np.zeros(len(chunks), np.int64)
+        words = [self._words(chunk) for chunk, one in zip(chunks, plain) if one]
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        quick, of_word = self.words.gather(chain.from_iterable(words), int(counts.sum()))
+        sizes[plain] = _totals(of_word, counts)
+        slow = self._ids_of([chunk for chunk, one in zip(chunks, plain) if not one])
+        sizes[~plain] = [len(ids) for ids in slow]
+        out = np.empty(int(sizes.sum()), np.uint32)
+        is_plain = np.repeat(plain, sizes)
+        out[is_plain] = quick
+        out[~is_plain] = np.concatenate([np.empty(0, np.uint32), *slow])
+        return out, sizes
 
     def _ids_of(self, chunks: list[str]) -> list[np.ndarray]:
-        """The ids of each chunk. Many are encoded as one text, with a mark between them, which costs far less than one by one.
+        """The ids of each chunk by the whole of the library.
 
-        No token but the mark's own holds the mark, so it leaves the chunks' ids as they are. Chunks that hold it,
-        begin with an apostrophe or end in white space are encoded alone: there the mark could part or join pre-tokens.
+        Chunks that hold the mark or a special token, begin with an apostrophe or end in white space are encoded alone:
+        there the mark could part or join pre-tokens.
         """
-        alone = [i for i, chunk in enumerate(chunks) if self.mark_id is None or MARK in chunk or chunk[:1] == "'" or not chunk or chunk[-1].isspace()]
-        skip = set(alone)
-        joined = [i for i in range(len(chunks)) if i not in skip]
-        coded: list[np.ndarray] = [np.empty(0, np.uint32)] * len(chunks)
-        for i, found in zip(alone, self.tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False)):
-            coded[i] = np.array(found.ids, np.uint32)
-        for first in range(0, len(joined), JOINED):
-            part = joined[first : first + JOINED]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(chunks[i] for i in part)], add_special_tokens=False)[0].ids, np.uint32)
-            marks = np.flatnonzero(ids == self.mark_id)
-            for i, start, end in zip(part, [0, *(marks + 1).tolist()], [*marks.tolist(), len(ids)], strict=True):
-                coded[i] = ids[start:end]
-        return coded
-
-    def _learn(self) -> None:
-        coded = self._ids_of(self.known.fresh)
-        self.known.fresh = []
-        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
-        if ends[-1] > len(self.table):
-            self.table = np.concatenate([self.table[: self.starts[-1]], np.empty(2 * int(ends[-1]) - int(self.starts[-1]), np.uint32)])
-        self.table[self.starts[-1] : ends[-1]] = np.concatenate(coded)
-        self.starts = np.concatenate([self.starts, ends])
+        whole = lambda texts: self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        alone = [
+            self.mark_id is None or not chunk or MARK in chunk or chunk[0] == "'" or chunk[-1].isspace() or self.special.search(chunk) is not None
+            for chunk in chunks
+        ]
+        joined = iter(self._parted(whole, [chunk for chunk, one in zip(chunks, alone) if not one], self.mark))
+        single = (np.array(whole([chunk])[0].ids, np.uint32) for chunk, one in zip(chunks, alone) if one)
+        return [next(single) if one else next(joined) for one in alone]
 
     def _chunks(self, text: str | None) -> list[str]:
-        """A tokenizer that drops white space needs none in its chunks, and one that drops case no capitals."""
+        """A tokenizer that drops white space needs none in its chunks, and one that drops case no capitals. A text with a
+        special token, which is told by its case, is a chunk whole."""
         text = text or ""
+        if "<" in text and self.special.search(text):
+            return [text]
         if self.drops_case:
             text = text.encode(errors="surrogatepass").lower().decode(errors="surrogatepass")  # A-Z only
         return text.replace("\n", " ").split(" ") if self.drops_space else CHUNK.findall(text)
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids start, with the end. A null text is an empty one."""
-        if len(self.known) > self.max_chunks:
-            self._clear()
+        if len(self.chunks.codes) > self.max_chunks or self.chunks.chars > self.max_chars:
+            self.chunks.clear()
+            self.words.clear()
         chunks = [self._chunks(text) for text in texts]
-        of_text = np.concatenate([[0], np.cumsum([len(found) for found in chunks])]).astype(np.int64)
-        code = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chunks)), np.int64, int(of_text[-1]))
-        if self.known.fresh:
-            self._learn()
-        lengths = self.starts[code + 1] - self.starts[code]
-        ends = np.cumsum(lengths)
-        ids = self.table[np.repeat(self.starts[code] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        return ids, np.concatenate([[0], ends])[of_text]
+        counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        ids, sizes = self.chunks.gather(chain.from_iterable(chunks), int(counts.sum()))
+        return ids, np.concatenate([[0], np.cumsum(_totals(sizes, counts))])
 
 
-@lru_cache(maxsize=2)
 def encoder_of(path: str) -> ChunkEncoder:
     """This process's encoder for a file: the tasks that one Python worker runs share what it has learned."""
-    return ChunkEncoder(path)
+    return kept(f"tokens of {path}", lambda: ChunkEncoder(path))

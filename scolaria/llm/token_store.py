@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from scolaria.llm.token_ids import encoder_of
 from scolaria.session import shared_folder
 
-MAGIC = b"WVM1"
+MAGIC = b"WVM2"
 BLOCK = 512  # bits between two rank samples
 SHARD_TOKENS = 1 << 20
 BATCH_CHARS = 2_000_000
@@ -33,7 +34,7 @@ class WaveletMatrix:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
-        level = ids.astype(np.uint32)
+        level = ids.astype(np.uint16 if len(ids) and ids.max() < 1 << 16 else np.uint32)
         planes = []
         for bit in range(int(level.max()).bit_length() if len(level) else 0)[::-1]:
             mask = (level >> bit) & 1 == 1
@@ -97,14 +98,14 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """The whole sequence, by undoing the order of each plane from the last to the first."""
-        level = np.zeros(self.size, np.uint32)
+        level = np.zeros(self.size, np.uint16 if len(self.words) <= 16 else np.uint32)
         for plane in reversed(range(len(self.words))):
             mask, zeros = self._bits(plane), self.zeros[plane]
             above = np.empty_like(level)
             above[~mask] = level[:zeros]
-            above[mask] = level[zeros:] | np.uint32(1 << (len(self.words) - 1 - plane))
+            above[mask] = level[zeros:] | level.dtype.type(1 << (len(self.words) - 1 - plane))
             level = above
-        return level
+        return level.astype(np.uint32)
 
 
 def shard_bytes(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -112,7 +113,8 @@ def shard_bytes(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray)
     matrix = WaveletMatrix.of(ids)
     known = np.array([i is not None for i in doc_ids], bool)
     sections = [np.array([i or 0 for i in doc_ids], "<i8"), np.packbits(known), lengths.astype("<i8"), *matrix.words]
-    packed = [zlib.compress(section.tobytes(), 1) for section in sections]
+    compressor = zstandard.ZstdCompressor(level=1)
+    packed = [compressor.compress(section.tobytes()) for section in sections]
     return MAGIC + struct.pack("<qqi", len(doc_ids), len(ids), len(matrix.words)) + b"".join(struct.pack("<q", len(p)) + p for p in packed)
 
 
@@ -121,10 +123,10 @@ def open_shard(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
     if data[:4] != MAGIC:
         raise ValueError("not a token shard")
     documents, tokens, _ = struct.unpack_from("<qqi", data, 4)
-    sections, at = [], 4 + struct.calcsize("<qqi")
+    unpacked, sections, at = zstandard.ZstdDecompressor(), [], 4 + struct.calcsize("<qqi")
     while at < len(data):
         (size,) = struct.unpack_from("<q", data, at)
-        sections.append(zlib.decompress(data[at + 8 : at + 8 + size]))
+        sections.append(unpacked.decompress(data[at + 8 : at + 8 + size]))
         at += 8 + size
     known = np.unpackbits(np.frombuffer(sections[1], np.uint8), count=documents)
     ids = [int(i) if k else None for i, k in zip(np.frombuffer(sections[0], "<i8"), known)]

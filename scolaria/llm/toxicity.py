@@ -12,13 +12,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scolaria.llm.shared import document_columns, whole_rows, written
+from scolaria.llm.shared import document_columns, drop_kept, whole_rows, written
 
 WORD = re.compile(r"[^\W\d_]+")
 BITS = 22
 STEM = 5
 MAX_ROWS = 20_000
-MAX_WORDS_KEPT = 300_000
+MAX_WORDS_KEPT = 150_000  # some 40 MB
 
 
 @dataclass(frozen=True)
@@ -115,11 +115,13 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), m
     """
 
     def featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        drop_kept()
         features = Features(bits)
         for frame in frames:
             yield pd.DataFrame({"at": frame["at"], "toxic": frame["toxic"], "features": [features.of(text).astype("<i4").tobytes() for text in frame["text"]]})
 
     def learned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        drop_kept()
         rows = pd.concat([pd.DataFrame(columns=["at", "toxic", "features"]), *frames])
         sample = [(np.frombuffer(bytes(f), "<i4"), int(y)) for f, y in zip(rows["features"], rows["toxic"])]
         model = Ftrl(settings, bits)
@@ -127,9 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), m
         for _ in range(settings.epochs):
             for i in order.permutation(len(sample)):
                 model.learn(*sample[i])
-        weights = model.weights(np.arange(len(model.z)))
-        left = np.flatnonzero(weights)
-        yield pd.DataFrame({"feature": left, "weight": weights[left]})
+        left = np.flatnonzero(np.abs(model.z) > settings.l1)
+        yield pd.DataFrame({"feature": left, "weight": model.weights(left)})
 
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     ids = known.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic", F.xxhash64("doc_id").alias("at"))
@@ -147,6 +148,7 @@ def score_of(model: Model, docs: DataFrame, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        drop_kept()
         features, weights, bias = Features(shared.value.bits), shared.value.dense(), shared.value.bias
         for texts in batches:
             yield pd.Series([sigmoid(float(weights[features.of(t)].sum(dtype=np.float64)) + bias) for t in texts], dtype="float64")

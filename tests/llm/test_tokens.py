@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from scolaria.llm.shared import _KEPT, drop_kept
 from scolaria.llm.packing import SumOfSquares, pack_documents
 from scolaria.llm.token_ids import ChunkEncoder, encoder_of
 from scolaria.llm.token_store import WaveletMatrix, batches_of, open_shard, shard_bytes, store_tokens
@@ -18,8 +19,7 @@ WORD, BYTE = (public_tokenizers.path(name) for name in ("word_bpe_49k.json", "by
 
 @lru_cache
 def plain(path):
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(path)  # as it comes, with no switch set
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -27,16 +27,44 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+PIECES = ["a", "b", "'s", "'", "S", "The", "tx", "!", ".", '"', "é", "É", "ß", "×", "ÿ", "1", "2", " ", "  ", "\n", "\t", "\u3000", "\u00a0", "\x1c", "\x85", "e\u0301", "\u0301", "İ", "Σ", "ς",
+          "<", "|", ">", "&", "\0", "😀", "</w>", "Ġ", "Ā", "½", "²", "ﬁ", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "w"]
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
-@settings(max_examples=100, deadline=None)
-@given(texts=st.lists(st.text(alphabet="ab'sStx!.\"é1 2\n\t 　́﻿İΣς<|>&\0😀", max_size=40), max_size=5))
+@settings(max_examples=200, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(PIECES), max_size=25).map("".join), max_size=5))
 def test_chunks_encode_like_whole_texts(path, texts):
     ids, starts = encoder_of(path).encode(texts)
     assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [plain(path)(text) for text in texts]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_special_tokens_are_those_of_the_library(path):
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y", "<|endoftext|><|endoftext|>", " <|endoftext|>\n", "A <|ENDOFTEXT|> b", "<|startoftext|> a"]
+    ids, starts = ChunkEncoder(path).encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [plain(path)(text) for text in texts]
+    assert plain(path)("<|endoftext|>")[-1] in ids
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_every_given_text(path, sf_dir, spark):
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    encoder = ChunkEncoder(path)
+    assert encoder.pattern is not None  # the quick way is taken
+    ids, starts = encoder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [plain(path)(text) for text in texts]
+
+
+def test_one_encoder_is_kept():
+    first = encoder_of(WORD)
+    assert encoder_of(WORD) is first and encoder_of(BYTE) is encoder_of(BYTE) and encoder_of(WORD) is not first
+    drop_kept()
+    assert _KEPT == {}
+
+
 def test_chunks_are_forgotten_and_learned_again():
-    encoder = ChunkEncoder(WORD, max_chunks=2)
+    encoder = ChunkEncoder(WORD, max_chunks=2, max_chars=9)
     for text in ("one two three", "four five", "one two six", None, ""):
         ids, _ = encoder.encode([text])
         assert ids.tolist() == plain(WORD)(text)
