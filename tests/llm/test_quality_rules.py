@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from scolaria.llm.quality_rules import Rule, apply_rules, base_counts, cascade, default_rules
+from scolaria.llm.quality_rules import Rule, apply_rules, base_counts, cascade, default_rules, estimates
 from tests.llm.conftest import CLASHES, ODD
 
 
@@ -59,3 +59,22 @@ def test_junk_goes_and_prose_stays(spark, sf_dir):
 
 def test_no_rows(docs_of):
     assert apply_rules(docs_of([])).collect() == []
+
+
+def test_cost_is_that_of_the_rule(docs_of):
+    """A rule with much work on a text costs more than one on a count; shares are those of the sample, hot ids and nulls included."""
+    texts = [" ".join(f"w{(i * k) % 1000}" for i in range(400)) for k in range(1, 201)]
+    dear = Rule("dear", F.sha2(F.repeat(F.col("doc.text"), 100), 512) == "")
+    cheap = Rule("cheap", F.col("n_words") > 100)
+    docs = docs_of([(None if k % 3 else k, text) for k, text in enumerate(texts)])
+    costs = {found.name: found for found in estimates(docs, [dear, cheap], copies=20)}
+    assert costs["dear"].seconds > 10 * costs["cheap"].seconds
+    assert (costs["dear"].rejected, costs["cheap"].rejected) == (0, 1) and costs["cheap"].worth > costs["dear"].worth == 0
+
+
+def test_the_sample_is_bounded(docs_of, spark):
+    """A table of one id, ten times the sample: about the sample's rows are measured, and no text is sorted."""
+    docs = docs_of([(7, " ".join(f"w{i}" for i in range(30)))]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2000)))).repartition(4)
+    taken = docs.sample(200 / docs.count(), 7).count()
+    assert 100 < taken < 300
+    assert [found.rejected for found in estimates(docs, [Rule("all", F.lit(True))], sample_rows=200, copies=2)] == [1]
