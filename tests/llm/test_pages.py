@@ -1,10 +1,12 @@
 import math
+import random
 import re
+import time
 
 import pytest
 
 from scolaria.llm import language_id as lid
-from scolaria.llm.html_text import blocks_of, main_text, unique_runs
+from scolaria.llm.html_text import blocks_of, main_text, suffix_array, unique_runs
 
 ARTICLE = (
     "<!DOCTYPE html><html lang=en><head><title>T &amp; t</title><script>var a='</p><article>';</script><style>p{}</style></head>"
@@ -62,25 +64,39 @@ def test_given_pages(spark, sf_dir):
     assert got == {i: (text, len(text)) for i, text in want.items()}
 
 
+def stream(blocks):
+    return ["\n", *(token for block in blocks for token in [*block.split(" "), "\n"])]
+
+
+def heads(tokens, length):
+    """(place, head) of every place: the whole block that starts there, if it is short, else the next tokens."""
+    for i in range(len(tokens) - 1):
+        window = tokens[i : i + length]
+        if tokens[i] == "\n" and "\n" in window[1:]:
+            yield i, tuple(window[: window.index("\n", 1) + 1])
+        elif len(window) == length:
+            yield i, tuple(window)
+
+
 def brute_runs(pages, length):
-    """Words of loose pages that no run shared with another page of the host covers, all pairs of places compared."""
+    """The texts of pages, what stands on other contents of a host found by comparing all pairs of places."""
     read = []
     for page_id, url, page in pages:
         article, loose = blocks_of(page)
         host = (re.match(r"[a-z]+://([^/]*)", url or "") or [None, ""])[1]
-        read.append((page_id, page, host, article, loose, [w for b in (() if article else loose) for w in b.split(" ")]))
+        read.append((page_id, host, article, loose, stream(loose) if loose else []))
     out = []
-    for page_id, page, host, article, loose, words in read:
+    for page_id, host, article, loose, tokens in read:
         covered = set()
-        for i in range(len(words) - length + 1):
-            run = words[i : i + length]
-            for other_id, other_page, other_host, _, _, others in read:
-                if (other_id, other_page) != (page_id, page) and other_host == host and any(others[j : j + length] == run for j in range(len(others) - length + 1)):
-                    covered |= set(range(i, i + length))
-        blocks, place = [], 0
+        for i, head in heads(tokens, length):
+            contents = {tuple(others) for _, other_host, _, _, others in read if other_host == host and any(found == head for _, found in heads(others, length))}
+            if len(contents) >= (2 if len(head) == length else 3):
+                covered |= set(range(i, i + len(head)))
+        blocks, place = [], 1
         for block in loose:
-            kept = [w for k, w in enumerate(block.split(" ")) if place + k not in covered]
-            place += len(block.split(" "))
+            words = block.split(" ")
+            kept = [w for k, w in enumerate(words, place) if k not in covered]
+            place += len(words) + 1
             blocks += [" ".join(kept)] if kept else []
         out.append((page_id, "\n".join(article) if article else "\n".join(blocks)))
     return sorted(out, key=str)
@@ -104,9 +120,53 @@ def test_repeats_of_a_host(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_the_array_alone_decides(spark):
+    """Pages without an article or any telling markup: menus of few words, long notices, copies and pages with an article as evidence."""
+    r = random.Random(12)
+    own = lambda n: " ".join(f"w{r.randrange(400)}" for _ in range(n))
+    menus = {host: [own(r.randint(1, 6)) for _ in range(4)] + [own(25)] for host in ("a.com", "b.com")}
+    pages = []
+    for i in range(24):
+        host = r.choice(list(menus))
+        blocks = [*r.sample(menus[host], r.randint(0, 5)), own(r.randint(1, 40)), f"{own(5)} {menus[host][4]} {own(5)}"]
+        r.shuffle(blocks)
+        body = "".join(f"<div>{block}</div>" for block in blocks)
+        pages.append((i, f"http://{host}/{i}", body if i % 4 else f"{body}<article><p>article {i}</p></article>"))
+    pages += [(100, *pages[1][1:]), (101, *pages[1][1:])]
+    for length in (3, 5, 10):
+        got = sorted(((r.page_id, r.text) for r in main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5), length).collect()), key=str)
+        assert got == brute_runs(pages, length)
+    texts = dict(got)
+    assert menus["a.com"][4] not in " ".join(texts.values()) and all(texts[i] for i in texts)
+
+
+def test_suffixes_are_sorted_with_their_common_prefixes(spark):
+    r = random.Random(3)
+    loose = [(f"p{i}", r.choice("xy"), [" ".join(r.choices("abc", k=r.randint(1, 6))) for _ in range(r.randint(1, 4))]) for i in range(40)]
+    array = suffix_array(spark.createDataFrame(loose, "row string, host string, loose array<string>").repartition(6), 6).orderBy("at").collect()
+    want = sorted((host, stream(blocks)[i : i + 6], row, i) for row, host, blocks in loose for i in range(len(stream(blocks)) - 1))
+    assert [(s.host, s.suffix, s.row, s.place) for s in array] == want
+    for last, s in zip(array, array[1:]):
+        shared = next((k for k, (a, b) in enumerate(zip(last.suffix, s.suffix)) if a != b), min(len(last.suffix), len(s.suffix)))
+        assert s.lcp == (shared if last.host == s.host else 0)
+
+
+def test_stray_end_tags_cost_no_search():
+    page = "<div>" * 20_000 + "</span></p></section>" * 20_000 + "end"
+    start = time.perf_counter()
+    assert blocks_of(page) == ([], ["end"]) and time.perf_counter() - start < 5
+
+
+def test_a_very_long_page(spark):
+    text = " ".join(f"w{i}" for i in range(200_000))
+    pages = [(1, "http://a.com/1", f"<div>{text}</div>"), (2, "http://a.com/2", f"<article>{text}</article>"), (3, "http://a.com/3", f"<p>{text} more</p>")]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "", 2: text, 3: "more"}
+
+
 def test_unique_runs():
-    assert unique_runs(["a b c", "d e", "f"], [1], 3) == "a\ne\nf"
-    assert unique_runs(["a b"], [0], 2) == "" and unique_runs([], [], 3) == ""
+    assert unique_runs(["a b c", "d e", "f"], [(2, 4)]) == "a\ne\nf"
+    assert unique_runs(["a b"], [(0, 4)]) == "" and unique_runs([], []) == ""
 
 
 def brute_languages(model, pages):
