@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scolaria.llm.shared import document_columns, whole_rows
+from scolaria.llm.shared import document_columns, drop_kept, row_key, whole_rows, written
 from scolaria.llm.simhash import segments_of
 
 WORD = re.compile(r"\w+")
@@ -176,7 +177,7 @@ class BenchmarkIndex:
                 best[item_id] = (item_id, found, d, start, size)
 
 
-def benchmark_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterable[list[tuple[int, str | None]]]:
+def benchmark_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str | None]]]:
     """The benchmark's items in blocks of about block_items, dealt by hash; only one is on the driver at a time."""
     items = benchmark.select(F.col("item_id").cast("long"), "text")
     blocks = max(1, -(-items.count() // block_items))
@@ -190,16 +191,19 @@ def _matcher(index: Broadcast) -> Callable[[Column], Column]:
 
     @F.pandas_udf(MATCHES)
     def matched(texts: pd.Series) -> pd.Series:
+        drop_kept()
         return pd.Series([[dict(zip(names, match)) for match in index.value.matches(text)] for text in texts], dtype=object)
 
     return matched
 
 
-def matches_of(text: Column, docs: DataFrame, benchmark: DataFrame, similarity: float, radius: int, block_items: int) -> Column:
-    """All matches of a text: one index, and one pass over the texts, for each block of items."""
-    context = docs.sparkSession.sparkContext
-    found = [_matcher(context.broadcast(BenchmarkIndex(block, similarity, radius)))(text) for block in benchmark_blocks(benchmark, block_items)]
-    return found[0] if len(found) == 1 else F.concat(*found)
+def _matched_rows(docs: DataFrame, block: list[tuple[int, str | None]], similarity: float, radius: int) -> DataFrame:
+    """row, matches of the texts of docs that hold an item of the block, written; the block's index is dropped again."""
+    index = docs.sparkSession.sparkContext.broadcast(BenchmarkIndex(block, similarity, radius))
+    rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), _matcher(index)(F.col("text")).alias("matches"))
+    found = written(rows.where(F.size("matches") > 0).dropDuplicates(["row"]))
+    index.destroy()
+    return found
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, block_items: int = BLOCK_ITEMS) -> DataFrame:
@@ -211,12 +215,26 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
     without words, or a null text on either side, never matches. Of one item the most similar window is reported, the
     first of equals. Repeated rows and items match one by one; an empty benchmark matches nothing.
 
+    A benchmark of up to block_items items is one index, broadcast. A larger one takes a pass over the texts for each block;
+    what a pass found is written, and its index dropped, before the next one is made, so memory holds one block.
+
     A text of fewer words than an item is compared with it as a whole, by its shingles alone. Other windows are found if
     they are within radius bits of the item. With one end replaced as far as 0.8 allows, 3 of 3000 simulated windows of
     the test tables' items were beyond 16 bits (17 to 19), so a match at the threshold may be missed.
     """
     rows = whole_rows(docs)
-    return rows.withColumn("matches", matches_of(F.col("doc.text"), docs, benchmark, similarity, radius, block_items))
+    blocks = benchmark_blocks(benchmark, block_items)
+    first = next(blocks)
+    second = next(blocks, None)
+    if second is None:
+        index = docs.sparkSession.sparkContext.broadcast(BenchmarkIndex(first, similarity, radius))
+        return rows.withColumn("matches", _matcher(index)(F.col("doc.text")))
+    found = _matched_rows(docs, first, similarity, radius)
+    for block in chain([second], blocks):
+        found = found.unionByName(_matched_rows(docs, block, similarity, radius))
+    of_row = found.groupBy("row").agg(F.sort_array(F.flatten(F.collect_list("matches"))).alias("found"))
+    keyed = rows.withColumn("row", row_key(F.col("doc.doc_id"), F.col("doc.text")))
+    return keyed.join(of_row, "row", "left").select("doc", F.coalesce("found", F.array().cast(MATCHES)).alias("matches"))
 
 
 def without_contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -1,8 +1,11 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from scolaria.llm.toxicity import Features, Ftrl, Settings, held_out, score_documents, sigmoid, train, without_toxic
 from tests.llm.conftest import CLASHES, ODD
@@ -101,3 +104,51 @@ def test_features():
 def test_fold_of_a_null_id(spark):
     frame = spark.createDataFrame([(None,), (5,)], "doc_id long")
     assert [r[0] for r in frame.select(held_out(frame.doc_id)).collect()] == [None, zlib.crc32(b"5") % 5 == 0]
+
+
+def plain_features(text):
+    """Feature numbers of a text, by Python's own integers."""
+    full, words = (1 << 64) - 1, re.findall(r"[^\W\d_]+", (text or "").lower())
+    whole = [xxhash.xxh64_intdigest(w, 1) for w in words]
+    stems = [xxhash.xxh64_intdigest(w[:5], 2) for w in words]
+    pairs = [(a * 0x9E3779B97F4A7C15 & full) ^ b for a, b in zip(whole, whole[1:])]
+    skips = [(a * 0xC2B2AE3D27D4EB4F & full) ^ b for a, b in zip(whole, whole[2:])]
+    return {((h ^ h >> 29) * 0x9E3779B97F4A7C15 & full) >> 42 for h in whole + stems + pairs + skips}
+
+
+def plain_scores(rows, labels, at, settings):
+    """FTRL-proximal over dictionaries, a coordinate at a time, in the operator's order of rows."""
+    truth = {}
+    for i, _, toxic in labels:
+        truth[i] = max(toxic, truth.get(i, 0))
+    sample = [(plain_features(text), truth[i]) for i, text in sorted(rows, key=lambda row: at[row[0]]) if i in truth and zlib.crc32(str(i).encode()) % 5]
+    z, n = {}, {}
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= settings.l1:
+            return 0.0
+        return (math.copysign(settings.l1, z[k]) - z[k]) / ((settings.beta + math.sqrt(n[k])) / settings.alpha + settings.l2)
+
+    def score(features):
+        return 1 / (1 + math.exp(-max(-60, min(60, sum(weight(k) for k in [*features, "bias"])))))
+
+    order = np.random.default_rng(7)
+    for _ in range(settings.epochs):
+        for i in order.permutation(len(sample)):
+            features, label = sample[i]
+            gradient = (score(features) - label) * (settings.positive_weight if label else 1.0)
+            for k, w in [(k, weight(k)) for k in [*features, "bias"]]:
+                sigma = (math.sqrt(n.get(k, 0.0) + gradient**2) - math.sqrt(n.get(k, 0.0))) / settings.alpha
+                z[k] = z.get(k, 0.0) + gradient - sigma * w
+                n[k] = n.get(k, 0.0) + gradient**2
+    return {i: score(plain_features(text)) for i, text in rows}
+
+
+def test_training_against_a_plain_loop(spark, docs_of):
+    rows, labels = corpus(250)
+    labels += [(labels[0][0], 1, 1)]
+    at = {r[0]: r[1] for r in spark.range(250).selectExpr("id", "xxhash64(id)").collect()}
+    settings = Settings(l1=0.5, epochs=3)
+    got = {r.doc.doc_id: r.score for r in score_documents(docs_of(rows), spark.createDataFrame(labels, LABELS), settings).collect()}
+    want = plain_scores(rows, labels, at, settings)
+    assert got == pytest.approx(want, abs=1e-5) and max(want.values()) > 0.9 > 0.1 > min(want.values())
