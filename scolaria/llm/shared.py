@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import TypeVar
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,25 @@ def written(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def whole_runs(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of frames that are sorted by keys, cut so that rows of equal keys come in one frame."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        if not len(frame):
+            continue
+        last = frame[keys].iloc[-1]
+        others = np.flatnonzero((frame[keys] != last).any(axis=1).to_numpy())
+        first = int(others[-1]) + 1 if len(others) else 0
+        if held and not first and (held[-1][keys].iloc[-1] == last).all():
+            held.append(frame)
+            continue
+        if held or first:
+            yield pd.concat([*held, frame.iloc[:first]], ignore_index=True)
+        held = [frame.iloc[first:]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def whole_rows(frame: DataFrame) -> DataFrame:
     """One struct column doc holding every input column, so that derived columns cannot clash with them."""
     return frame.select(F.struct(*[F.col(f"`{name}`") for name in frame.columns]).alias("doc"))
