@@ -18,7 +18,7 @@ WORD = re.compile(r"[^\W\d_]+")
 BITS = 22
 STEM = 5
 MAX_ROWS = 20_000
-MAX_WORDS_KEPT = 150_000  # some 40 MB
+MAX_WORDS_KEPT = 300_000  # some 60 MB
 
 
 @dataclass(frozen=True)
@@ -34,30 +34,41 @@ class Settings:
     epochs: int = 8
 
 
+class _Words(dict):
+    """word -> its number; hashes has the hash of the word and that of its first letters at this number."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.hashes = np.empty((1 << 14, 2), np.uint64)
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        if number == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
+        self.hashes[number] = xxhash.xxh64_intdigest(word, 1), xxhash.xxh64_intdigest(word[:STEM], 2)
+        return number
+
+
 class Features:
     """The features of a text, each once: words, their first STEM letters, pairs of neighbours, pairs with one word between."""
 
     def __init__(self, bits: int = BITS) -> None:
         self.shift = np.uint64(64 - bits)
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known = _Words()
 
     def of(self, text: str | None) -> np.ndarray:
         words = WORD.findall((text or "").lower())
         if not words:
             return np.empty(0, np.int64)
         if len(self.known) > MAX_WORDS_KEPT:
-            self.known.clear()
-        known, hashes = self.known, []
-        for word in words:
-            pair = known.get(word)
-            if pair is None:
-                pair = known[word] = (xxhash.xxh64_intdigest(word, 1), xxhash.xxh64_intdigest(word[:STEM], 2))
-            hashes.append(pair)
-        word, stem = np.array(hashes, np.uint64).T
+            self.known = _Words()
+        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        word, stem = self.known.hashes[numbers].T
         second, third = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
         mixed = np.concatenate([word, stem, word[:-1] * second ^ word[1:], word[:-2] * third ^ word[2:]])
         mixed ^= mixed >> np.uint64(29)
-        return np.unique((mixed * second) >> self.shift).astype(np.int64)
+        found = np.sort(((mixed * second) >> self.shift).astype(np.uint32))
+        return found[np.append(True, found[1:] != found[:-1])].astype(np.int64)
 
 
 class Ftrl:
