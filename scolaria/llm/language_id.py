@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scolaria.llm.html_text import blocks_of, host_of
@@ -63,26 +63,27 @@ def grams(text: str | None) -> np.ndarray:
 
 
 def train_text_model(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> TextModel:
-    """Counts over about sample documents (text, lang) of each language, taken by hash; rows without either are left out.
+    """Counts over sample different texts of documents (text, lang) of each language, those with the least hashes.
 
-    What reaches the driver has BUCKETS rows for each language at most, what is broadcast to choose the sample one.
+    Rows without text or language are left out. Every language that has a text is learned, from sample texts at most; a
+    text is read once, and counts as often as it has copies. What reaches the driver has BUCKETS rows for each language at most, what is
+    broadcast to choose the sample as many hashes as are taken.
     """
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, np.ndarray] = {}
         for frame in frames:
-            for language, text in zip(frame["lang"], frame["text"]):
+            for language, text, copies in zip(frame["lang"], frame["text"], frame["copies"]):
                 counts.setdefault(language, np.zeros(BUCKETS, np.int64))
-                counts[language] += np.bincount(grams(text), minlength=BUCKETS)
+                counts[language] += copies * np.bincount(grams(text), minlength=BUCKETS)
         for language, count in counts.items():
             there = np.flatnonzero(count)
             yield pd.DataFrame({"lang": language, "bucket": there, "n": count[there]})
 
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    sizes = labelled.groupBy("lang").count()
-    whole = 1 << 30
-    share = F.least(F.lit(1.0), sample / F.col("count"))
-    chosen = labelled.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("text"), F.lit(whole)) < share * whole).select("lang", "text")
+    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("text").alias("hash"), "text")
+    least = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    taken = written(labelled.select("lang", "hash").distinct().withColumn("place", least).where(F.col("place") <= sample).select("lang", "hash"))
+    chosen = labelled.join(F.broadcast(taken), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     found = chosen.mapInPandas(counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(found["lang"].unique()))
     counts = np.full((len(languages), BUCKETS), ALPHA)

@@ -254,3 +254,13 @@ def test_copies_of_a_page_on_a_host_stay(spark):
     pages = [(1, "http://a.com/1", f"<p>{text}</p>"), (2, "http://a.com/2", f"<div>{text}</div>"), (3, None, f"<p>{text}</p>"), (4, None, f"<p>{text}</p>")]
     got = main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     assert sorted((r.page_id, r.text) for r in got) == [(i, text) for i in range(1, 5)]
+
+
+def test_every_language_is_sampled(spark):
+    """A language of one text in many copies, and one with more texts than the sample."""
+    rows = [("un seul texte", "fr")] * 500 + [(f"own text {i}", "en") for i in range(400)] + [(None, "de"), ("kein Label", None)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    model, again = (lid.train_text_model(frame.repartition(n), sample=30) for n in (2, 7))
+    assert model.languages == ("en", "fr") and (model.logs == again.logs).all()
+    alone = lid.train_text_model(spark.createDataFrame(rows[:500], "text string, lang string"), sample=30)
+    assert (model.logs[1] == alone.logs[0]).all()
