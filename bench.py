@@ -3,7 +3,7 @@
     BENCH_SF_DIR   folder of the test tables (default /root/testdata/sf0.1)
     BENCH_CPUS     local cores (default 8)
     BENCH_QUERIES  comma-separated keys, or "all" (default: the named queries and the load steps; left out
-                   are the rollups over them and the one-year variants, the same plans under a filter)
+                   are the other rollups over them and the one-year variants, the same plans under a filter)
     BENCH_REPEAT   warm runs, of which the best counts (default 3)
     BENCH_DETAIL   file for cold times and, with BENCH_PRODUCT=1, the joined-product times
     BENCH_PRODUCT  also time the fan-out queries as plain joins
@@ -26,7 +26,7 @@ from scolaria.sources.school_model import school_model  # noqa: E402
 
 
 HEADLINE = [
-    *FIXED, *BY_YEAR, "unpivot_revenue", "unpivot_tranche", "resolve_keys", "anti_revenue", "fact_service_revenue", "fact_service_tranche",
+    *FIXED, *BY_YEAR, "rollup_progression_summary", "rollup_risk_summary", "append_load", "unpivot_revenue", "unpivot_tranche", "resolve_keys", "anti_revenue", "fact_service_revenue", "fact_service_tranche",
 ]
 
 
