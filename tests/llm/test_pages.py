@@ -264,3 +264,9 @@ def test_every_language_is_sampled(spark):
     assert model.languages == ("en", "fr") and (model.logs == again.logs).all()
     alone = lid.train_text_model(spark.createDataFrame(rows[:500], "text string, lang string"), sample=30)
     assert (model.logs[1] == alone.logs[0]).all()
+
+
+def test_language_of_a_very_long_page(spark):
+    docs = spark.createDataFrame([(1, "the cat and the hat", "en"), (2, "le chat et la robe", "fr")], "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(1, "http://a.com/", "<p>" + "le chat et la robe " * 100_000), (2, "http://a.com/", "<div>" * 100_000 + "the cat")], "page_id long, url string, html string")
+    assert {r.page_id: r.lang for r in lid.identify_languages(pages, docs).collect()} == {1: "fr", 2: "en"}
