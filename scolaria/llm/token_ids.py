@@ -155,8 +155,14 @@ class ChunkEncoder:
             chunk = chunk.lower()
         return [chunk] if chunk.isalpha() or chunk[1:].isalpha() and chunk[0] == " " else self.pattern.findall(chunk)
 
+    @staticmethod
+    def _letters(word: str) -> str:
+        if not word.isascii():
+            return word.encode().decode("latin-1").translate(LETTERS)
+        return LETTERS[0x20] + word[1:] if word[0] == " " else word
+
     def _learn_words(self, words: list[str]) -> Coded:
-        as_letters = [word if word.isascii() and word[0] != " " else word.encode().decode("latin-1").translate(LETTERS) for word in words]
+        as_letters = [self._letters(word) for word in words]
         coded = self._parted(lambda texts: self.model.encode_batch_fast(texts, add_special_tokens=False), as_letters, f" {MARK_IN_VOCABULARY} ")
         return np.concatenate(coded), np.fromiter(map(len, coded), np.int64, len(coded))
 
