@@ -1,4 +1,5 @@
-"""Near duplicates by text: MinHash bands find candidates, the exact Jaccard similarity of word shingles decides."""
+"""Near duplicates by text: SimHash fingerprints find candidates, MinHash bands those whose fingerprints lie too far
+apart, and the exact Jaccard similarity of word shingles decides."""
 
 from __future__ import annotations
 
@@ -11,9 +12,12 @@ from pyspark.sql import functions as F
 
 from scolaria.llm.components import component_labels
 from scolaria.llm.shared import ascii_lower, drop_kept, text_or_empty, whole_runs, written
-from scolaria.llm.simhash import first_of_each, shingle_hashes
+from scolaria.llm.simhash import first_of_each, links_within, majority, shingle_hashes
 
 SHINGLE = 5
+#: Bits in which fingerprints of candidates differ: eight segments of a byte. Similar pairs differ by up to twice as many,
+#: where segments would let nearly all pairs meet; the bands are for those.
+RADIUS = 7
 SIMILARITY = 0.8
 SEED = 42
 #: A pair of similarity s shares a band with probability 1 - (1 - s ** ROWS) ** BANDS: all but 5 in 100 000 at 0.8.
@@ -109,21 +113,37 @@ def linked(nodes: Sequence[int], hashes: Sequence[np.ndarray], similarity: float
     return out
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def clusters(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """node, band of the nodes (node, fp) whose fingerprint is within radius bits of another's, or the same: one band for
+    each component of such links, so any two nodes within radius share it."""
+    fps = written(nodes.groupBy("fp").count())
+    labels = component_labels(written(links_within(fps.select("fp"), radius))).withColumnRenamed("node", "fp")
+    alike = fps.join(labels, "fp", "left").where(F.col("label").isNotNull() | (F.col("count") > 1))
+    named = written(alike.select("fp", F.xxhash64(F.lit("fingerprints"), F.coalesce("label", "fp")).alias("band")))
+    return nodes.select("node", "fp").join(named, "fp").select("node", "band")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """doc_id, component_id (the smallest doc_id reachable) of every row of docs (doc_id, text).
 
     Texts are linked whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, or that have the same
-    words. Texts of one word sequence are one node, so copies cost a count. Candidates share a band of their MinHash
-    values; bands with the same members are compared once. Only texts with a candidate are hashed into sets. The members
-    of a band are dealt into blocks of about BLOCK, and a task compares one block with itself or with one other.
-    A null text has no words, like an empty one; a text of fewer words than a shingle is one shingle.
+    words. Texts of one word sequence are one node, so copies cost a count. Candidates are the nodes whose SimHash
+    fingerprints links within radius bits join, and, for similar texts that lie further apart, those that share a band of
+    their MinHash values. Such a component is treated as one more band: bands with the same members are compared once.
+    Only texts with a candidate are hashed into sets. The members of a band are dealt into blocks of about BLOCK, and a
+    task compares one block with itself or with one other. A null text has no words, like an empty one; a text of fewer
+    words than a shingle is one shingle.
     """
 
     def banded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         drop_kept()
         for frame in frames:
-            found = [bands(np.unique(shingle_hashes(text, SHINGLE, SEED))) for text in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "node": frame["node"], "bands": found})
+            fps, found = np.empty(len(frame), np.uint64), []
+            for i, text in enumerate(frame["text"]):
+                hashes = shingle_hashes(text, SHINGLE, SEED)
+                fps[i] = majority(hashes)
+                found.append(bands(np.unique(hashes)))
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "node": frame["node"], "fp": fps.view(np.int64), "bands": found})
 
     def hashed_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -141,9 +161,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of(text_or_empty("text")).alias("node"), "text")
-    hashed = written(texts.mapInPandas(banded, "doc_id long, node long, bands array<long>"))
-    nodes = written(hashed.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands")))
-    laid = nodes.select("node", F.explode("bands").alias("band"))
+    hashed = written(texts.mapInPandas(banded, "doc_id long, node long, fp long, bands array<long>"))
+    nodes = written(hashed.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands")))
+    laid = nodes.select("node", F.explode("bands").alias("band")).unionByName(clusters(nodes, radius))
     crowds = laid.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("first"), F.bit_xor(F.xxhash64("node")).alias("all")).where("n > 1")
     parts = F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")
     crowds = written(crowds.groupBy("n", "first", "all").agg(F.min("band").alias("band")).select("band", parts))

@@ -34,9 +34,8 @@ def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -
     return np.fromiter((digest(joined[a:b], seed) for a, b in zip(firsts, lasts)), np.uint64, n)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The 64-bit SimHash of a whole text."""
-    hashes = shingle_hashes(text, shingle, seed)
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits, each 1 if set in over half the hashes; 0 of none."""
     n = len(hashes)
     if not n:
         return 0
@@ -47,6 +46,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The 64-bit SimHash of a whole text."""
+    return majority(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """doc_id (long) and fp (the fingerprint's 64 bits as a signed long) of every row of docs."""
 
