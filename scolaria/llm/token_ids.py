@@ -18,7 +18,7 @@ from scolaria.llm.shared import kept
 CHUNK = re.compile(r"[ \n]+[^ \n]*|[^ \n]+")
 #: What a worker remembers: chunks, and code points of them; then it starts afresh. Some 200 MB, dropped by the next stage.
 MAX_CHUNKS, MAX_CHARS = 700_000, 16_000_000
-JOINED = 2000  # keys encoded as one text
+JOINED = 20_000  # keys encoded as one text; with fewer, the library takes longer for each
 MARK = "\0"
 MARK_IN_VOCABULARY = "Ā"  # how byte-level vocabularies write the byte 0
 
@@ -58,38 +58,51 @@ class _Codes(dict):
 class _Table:
     """The ids of keys, learned when they are first asked for."""
 
-    def __init__(self, learn: Callable[[list[str]], Coded]) -> None:
+    def __init__(self, learn: Callable[[list[str]], None]) -> None:
         self.learn = learn
         self.clear()
 
     def clear(self) -> None:
         self.codes = _Codes()
         self.ids = np.empty(1 << 16, np.uint32)
-        self.starts = np.zeros(1, np.int64)
-        self.chars = 0
+        self.first, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.used = self.chars = 0
 
-    def _learn(self) -> None:
+    def fresh(self) -> list[str]:
+        """The keys asked for since the last call; their codes are the latest ones."""
         fresh, self.codes.fresh = self.codes.fresh, []
         self.chars += sum(map(len, fresh))
-        ids, sizes = self.learn(fresh)
-        first = int(self.starts[-1])
-        if first + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids[:first], np.empty(2 * len(ids) + first, np.uint32)])
-        self.ids[first : first + len(ids)] = ids
-        self.starts = np.concatenate([self.starts, first + np.cumsum(sizes)])
+        return fresh
+
+    def put(self, code: Sequence[int], coded: Coded) -> None:
+        ids, sizes = coded
+        end, keys = self.used + len(ids), len(self.codes)
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.empty(2 * len(ids) + self.used, np.uint32)])
+        if keys > len(self.first):
+            more = np.empty(keys, np.int64)
+            self.first, self.size = np.concatenate([self.first, more]), np.concatenate([self.size, more])
+        self.ids[self.used : end] = ids
+        self.first[code], self.size[code] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used = end
+
+    def of(self, code: np.ndarray) -> Coded:
+        """The ids of learned keys, one after another."""
+        first, sizes = self.first[code], self.size[code]
+        first -= np.cumsum(sizes) - sizes
+        places = np.repeat(first, sizes)
+        places += np.arange(len(places))
+        return self.ids[places], sizes
+
+    def codes_of(self, keys: Iterable[str], n: int) -> np.ndarray:
+        return np.fromiter(map(self.codes.__getitem__, keys), np.int64, n)
 
     def gather(self, keys: Iterable[str], n: int) -> Coded:
         """The ids of n keys, one after another."""
-        code = np.fromiter(map(self.codes.__getitem__, keys), np.int64, n)
+        code = self.codes_of(keys, n)
         if self.codes.fresh:
-            self._learn()
-        first = self.starts[code]
-        sizes = self.starts[code + 1] - first
-        ends = np.cumsum(sizes)
-        first -= ends - sizes
-        places = np.repeat(first, sizes)
-        places += np.arange(len(places))
-        return self.ids[places], sizes
+            self.learn(self.fresh())
+        return self.of(code)
 
 
 def _totals(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -103,7 +116,8 @@ class ChunkEncoder:
     """Encodes texts as the tokenizers library does with a file, special tokens in a text included.
 
     Chunks are learned once. A plain one is first parted into its words by the file's own pattern, and these go to the
-    file's model without its normalizer, which is most of the library's time; the others go through the whole of it.
+    file's model without its normalizer, which is most of the library's time; the others go through the whole of it. A
+    word alone is a chunk too, so words and chunks share a table, and a chunk of one word is looked up once.
     """
 
     def __init__(self, path: str, max_chunks: int = MAX_CHUNKS, max_chars: int = MAX_CHARS) -> None:
@@ -124,7 +138,7 @@ class ChunkEncoder:
         if self.pattern:
             bare = file | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
             self.model = Tokenizer.from_str(json.dumps(bare))
-        self.words, self.chunks = _Table(self._learn_words), _Table(self._learn_chunks)
+        self.chunks = _Table(self._learn)
 
     @staticmethod
     def _pattern_of(file: dict) -> regex.Pattern | None:
@@ -141,14 +155,15 @@ class ChunkEncoder:
             return regex.compile(steps[0]["pattern"]["Regex"])
         return None
 
-    def _parted(self, encode: Callable[[list[str]], list], keys: list[str], mark: str) -> list[np.ndarray]:
-        """The ids of each key; many are encoded as one text with a mark between them. No token but its own holds the mark."""
-        out: list[np.ndarray] = []
+    def _parted(self, encode: Callable[[list[str]], list], keys: list[str], mark: str) -> Coded:
+        """The ids of keys; many are encoded as one text with a mark between them. No token but its own holds the mark."""
+        out, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for first in range(0, len(keys), JOINED):
             ids = np.array(encode([mark.join(keys[first : first + JOINED])])[0].ids, np.uint32)
-            marks = np.flatnonzero(ids == self.mark_id)
-            out += [ids[a:b] for a, b in zip([0, *(marks + 1).tolist()], [*marks.tolist(), len(ids)])]
-        return out
+            marks = ids == self.mark_id
+            out.append(ids[~marks])
+            sizes.append(np.diff(np.flatnonzero(marks), prepend=-1, append=len(ids)) - 1)
+        return np.concatenate(out), np.concatenate(sizes)
 
     def _words(self, chunk: str) -> list[str]:
         if self.drops_case:
@@ -161,40 +176,52 @@ class ChunkEncoder:
             return word.encode().decode("latin-1").translate(LETTERS)
         return LETTERS[0x20] + word[1:] if word[0] == " " else word
 
-    def _learn_words(self, words: list[str]) -> Coded:
-        as_letters = [self._letters(word) for word in words]
-        coded = self._parted(lambda texts: self.model.encode_batch_fast(texts, add_special_tokens=False), as_letters, f" {MARK_IN_VOCABULARY} ")
-        return np.concatenate(coded), np.fromiter(map(len, coded), np.int64, len(coded))
-
-    def _learn_chunks(self, chunks: list[str]) -> Coded:
-        plain = np.array([self.pattern is not None and PLAIN.fullmatch(chunk) is not None for chunk in chunks], bool)
-        sizes = np.zeros(len(chunks), np.int64)
-        words = [self._words(chunk) for chunk, one in zip(chunks, plain) if one]
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        quick, of_word = self.words.gather(chain.from_iterable(words), int(counts.sum()))
-        sizes[plain] = _totals(of_word, counts)
-        slow = self._ids_of([chunk for chunk, one in zip(chunks, plain) if not one])
-        sizes[~plain] = [len(ids) for ids in slow]
-        out = np.empty(int(sizes.sum()), np.uint32)
-        is_plain = np.repeat(plain, sizes)
-        out[is_plain] = quick
-        out[~is_plain] = np.concatenate([np.empty(0, np.uint32), *slow])
-        return out, sizes
-
-    def _ids_of(self, chunks: list[str]) -> list[np.ndarray]:
-        """The ids of each chunk by the whole of the library.
-
-        Chunks that hold the mark or a special token, begin with an apostrophe or end in white space are encoded alone:
+    def _learn(self, chunks: list[str]) -> None:
+        table, first = self.chunks, len(self.chunks.codes) - len(chunks)
+        words: list[str] = []
+        parted: list[list[str]] = []
+        others: list[str] = []
+        of_words: list[int] = []
+        of_parted: list[int] = []
+        of_others: list[int] = []
+        for code, chunk in enumerate(chunks, first):
+            if self.pattern is None or PLAIN.fullmatch(chunk) is None:
+                others.append(chunk)
+                of_others.append(code)
+                continue
+            parts = self._words(chunk)
+            if len(parts) == 1:
+                words.append(parts[0])
+                of_words.append(code)
+            else:
+                parted.append(parts)
+                of_parted.append(code)
+        counts = np.fromiter(map(len, parted), np.int64, len(parted))
+        of_parts = table.codes_of(chain.from_iterable(parted), int(counts.sum()))
+        more = table.fresh()  # words that are no chunk yet
+        of_words += range(len(table.codes) - len(more), len(table.codes))
+        as_letters = [self._letters(word) for word in chain(words, more)]
+        if as_letters:
+            table.put(of_words, self._parted(lambda texts: self.model.encode_batch_fast(texts, add_special_tokens=False), as_letters, f" {MARK_IN_VOCABULARY} "))
+        self._learn_others(of_others, others)
+        ids, sizes = table.of(of_parts)
+        table.put(of_parted, (ids, _totals(sizes, counts)))
+
+    def _learn_others(self, codes: list[int], chunks: list[str]) -> None:
+        """Chunks by the whole of the library.
+
+        Those that hold the mark or a special token, begin with an apostrophe or end in white space are encoded alone:
         there the mark could part or join pre-tokens.
         """
         whole = lambda texts: self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        alone = [
-            self.mark_id is None or not chunk or MARK in chunk or chunk[0] == "'" or chunk[-1].isspace() or self.special.search(chunk) is not None
-            for chunk in chunks
-        ]
-        joined = iter(self._parted(whole, [chunk for chunk, one in zip(chunks, alone) if not one], self.mark))
-        single = (np.array(whole([chunk])[0].ids, np.uint32) for chunk, one in zip(chunks, alone) if one)
-        return [next(single) if one else next(joined) for one in alone]
+        joined: list[tuple[int, str]] = []
+        for code, chunk in zip(codes, chunks):
+            if self.mark_id is None or not chunk or MARK in chunk or chunk[0] == "'" or chunk[-1].isspace() or self.special.search(chunk) is not None:
+                ids = np.array(whole([chunk])[0].ids, np.uint32)
+                self.chunks.put([code], (ids, np.array([len(ids)], np.int64)))
+            else:
+                joined.append((code, chunk))
+        self.chunks.put([code for code, _ in joined], self._parted(whole, [chunk for _, chunk in joined], self.mark))
 
     def _chunks(self, text: str | None) -> list[str]:
         """A tokenizer that drops white space needs none in its chunks, and one that drops case no capitals. A text with a
@@ -210,7 +237,6 @@ class ChunkEncoder:
         """The ids of all texts in a row, and where each text's ids start, with the end. A null text is an empty one."""
         if len(self.chunks.codes) > self.max_chunks or self.chunks.chars > self.max_chars:
             self.chunks.clear()
-            self.words.clear()
         chunks = [self._chunks(text) for text in texts]
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
         ids, sizes = self.chunks.gather(chain.from_iterable(chunks), int(counts.sum()))

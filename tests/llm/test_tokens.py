@@ -63,6 +63,24 @@ def test_one_encoder_is_kept():
     assert _KEPT == {}
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_many_words_are_one_text(path):
+    """15 000 words, each with a comma and without: the model sees every word once, all in one text."""
+    encoder, seen = ChunkEncoder(path), []
+    model = encoder.model
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            seen.extend(texts)
+            return model.encode_batch_fast(texts, **more)
+
+    encoder.model = Counted()
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(15_000)]
+    text = " ".join([*words, *(f"{word}," for word in words)])
+    ids, _ = encoder.encode([text])
+    assert ids.tolist() == plain(path)(text) and len(seen) == 1 and len(seen[0].split()) < 2 * 15_010
+
+
 def test_chunks_are_forgotten_and_learned_again():
     encoder = ChunkEncoder(WORD, max_chunks=2, max_chars=9)
     for text in ("one two three", "four five", "one two six", None, ""):
