@@ -25,7 +25,9 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts that share 80 % of their five-word shingles the document with the smallest id stays."""
+    """Of each component of texts that share 80 % of their five-word shingles the document with the smallest id stays.
+
+    SimHash fingerprints of these shingles find pairs, MinHash bands find those further apart, exact shingle sets decide."""
     return near_text.one_of_each(docs)
 
 
