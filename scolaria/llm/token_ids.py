@@ -5,17 +5,23 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable, Iterable, Sequence
-from itertools import chain
+import string
+from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 from scolaria.llm.shared import kept
 
 #: A chunk is white space and what follows up to the next white space. No pre-token of either tokenizer reaches from a
 #: character that is no white space over to white space, so the ids of a text are those of its chunks, one after another.
-CHUNK = re.compile(r"[ \n]+[^ \n]*|[^ \n]+")
+#: Where letters and signs come in runs, none reaches from an ASCII letter to an ASCII sign either: a chunk ends there too.
+SIGNS = string.punctuation
+LETTER, SIGN, SPACE = 1, 2, 3
+KINDS = np.zeros(256, np.uint8)  # of bytes
+for kind, members in ((LETTER, string.ascii_letters), (SIGN, SIGNS), (SPACE, " \n")):
+    KINDS[list(members.encode())] = kind
 #: What a worker remembers: chunks, and code points of them; then it starts afresh. Some 200 MB, dropped by the next stage.
 MAX_CHUNKS, MAX_CHARS = 700_000, 16_000_000
 JOINED = 20_000  # keys encoded as one text; with fewer, the library takes longer for each
@@ -37,24 +43,14 @@ def _byte_letters() -> dict[int, str]:
 
 
 LETTERS = _byte_letters()
+#: Words are joined with these bytes between them, which no plain chunk has; as letters they are " Ā ".
+BETWEEN = "\x1f\n\x1f"
+AS_LETTERS = np.array([ord({0x1F: " ", 0x0A: MARK_IN_VOCABULARY}.get(byte) or LETTERS.get(byte, chr(byte))) for byte in range(256)], "<u4")
 
 #: The ids of some keys in a row, and the number of ids of each.
 Coded = tuple[np.ndarray, np.ndarray]
 
 
-class _Codes(dict):
-    """key -> number, a new one for each key asked for the first time; these lie in fresh until they are learned."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.fresh: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        code = self[key] = len(self)
-        self.fresh.append(key)
-        return code
-
-
 class _Table:
     """The ids of keys, learned when they are first asked for."""
 
@@ -63,14 +59,15 @@ class _Table:
         self.clear()
 
     def clear(self) -> None:
-        self.codes = _Codes()
+        self.codes: dict[str, int] = {}
+        self.unlearned: list[str] = []
         self.ids = np.empty(1 << 16, np.uint32)
         self.first, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
         self.used = self.chars = 0
 
     def fresh(self) -> list[str]:
         """The keys asked for since the last call; their codes are the latest ones."""
-        fresh, self.codes.fresh = self.codes.fresh, []
+        fresh, self.unlearned = self.unlearned, []
         self.chars += sum(map(len, fresh))
         return fresh
 
@@ -94,15 +91,23 @@ class _Table:
         places += np.arange(len(places))
         return self.ids[places], sizes
 
-    def codes_of(self, keys: Iterable[str], n: int) -> np.ndarray:
-        return np.fromiter(map(self.codes.__getitem__, keys), np.int64, n)
-
-    def gather(self, keys: Iterable[str], n: int) -> Coded:
-        """The ids of n keys, one after another."""
-        code = self.codes_of(keys, n)
-        if self.codes.fresh:
+    def codes_of(self, keys: Sequence[str]) -> np.ndarray:
+        """The numbers of keys, a new one for each that is asked for the first time."""
+        codes = self.codes
+        found = list(map(codes.get, keys))
+        new = list(dict.fromkeys(key for key, code in zip(keys, found) if code is None))
+        if new:
+            codes.update(zip(new, range(len(codes), len(codes) + len(new))))
+            self.unlearned += new
+            found = [codes[key] if code is None else code for key, code in zip(keys, found)]
+        return np.array(found, np.int64)
+
+    def gather(self, keys: Sequence[str], places: np.ndarray) -> Coded:
+        """The ids of the keys at these places, one after another."""
+        code = self.codes_of(keys)
+        if self.unlearned:
             self.learn(self.fresh())
-        return self.of(code)
+        return self.of(code[places])
 
 
 def _totals(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -135,6 +140,8 @@ class ChunkEncoder:
         file = json.loads(self.tokenizer.to_str())
         self.special = re.compile("|".join(re.escape(token["content"]) for token in file["added_tokens"]) or r"(?!)", re.I)
         self.pattern = self._pattern_of(file) if self.mark_id is not None else None
+        if self.pattern and self.pattern.findall(f"ab{SIGNS}") != ["ab", SIGNS]:  # letters and signs come in runs
+            self.pattern = None
         if self.pattern:
             bare = file | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
             self.model = Tokenizer.from_str(json.dumps(bare))
@@ -155,57 +162,60 @@ class ChunkEncoder:
             return regex.compile(steps[0]["pattern"]["Regex"])
         return None
 
-    def _parted(self, encode: Callable[[list[str]], list], keys: list[str], mark: str) -> Coded:
-        """The ids of keys; many are encoded as one text with a mark between them. No token but its own holds the mark."""
+    def _parted(self, encode: Callable[[list[str]], list], keys: list[str], join: Callable[[list[str]], str]) -> Coded:
+        """The ids of keys; many are encoded as one text, joined with a mark between them. No token but its own holds the mark."""
         out, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for first in range(0, len(keys), JOINED):
-            ids = np.array(encode([mark.join(keys[first : first + JOINED])])[0].ids, np.uint32)
+            ids = np.array(encode([join(keys[first : first + JOINED])])[0].ids, np.uint32)
             marks = ids == self.mark_id
             out.append(ids[~marks])
             sizes.append(np.diff(np.flatnonzero(marks), prepend=-1, append=len(ids)) - 1)
         return np.concatenate(out), np.concatenate(sizes)
 
-    def _words(self, chunk: str) -> list[str]:
-        if self.drops_case:
-            chunk = chunk.lower()
-        return [chunk] if chunk.isalpha() or chunk[1:].isalpha() and chunk[0] == " " else self.pattern.findall(chunk)
-
     @staticmethod
-    def _letters(word: str) -> str:
-        if not word.isascii():
-            return word.encode().decode("latin-1").translate(LETTERS)
-        return LETTERS[0x20] + word[1:] if word[0] == " " else word
+    def _as_letters(words: list[str]) -> str:
+        return AS_LETTERS[np.frombuffer(BETWEEN.join(words).encode(), np.uint8)].tobytes().decode("utf-32-le")
 
     def _learn(self, chunks: list[str]) -> None:
         table, first = self.chunks, len(self.chunks.codes) - len(chunks)
         words: list[str] = []
-        parted: list[list[str]] = []
+        parts: list[str] = []
+        counts: list[int] = []
         others: list[str] = []
         of_words: list[int] = []
         of_parted: list[int] = []
         of_others: list[int] = []
+        plain = PLAIN.fullmatch
         for code, chunk in enumerate(chunks, first):
-            if self.pattern is None or PLAIN.fullmatch(chunk) is None:
+            if self.pattern is None or plain(chunk) is None:
                 others.append(chunk)
                 of_others.append(code)
                 continue
-            parts = self._words(chunk)
-            if len(parts) == 1:
-                words.append(parts[0])
+            if self.drops_case:
+                chunk = chunk.lower()
+            stem = chunk.rstrip(SIGNS)
+            if not (stem.isalpha() or stem[1:].isalpha() and stem[0] == " "):
+                found = self.pattern.findall(chunk)
+            elif len(stem) < len(chunk):
+                found = (stem, chunk[len(stem) :])
+            else:
+                found = (chunk,)
+            if len(found) == 1:
+                words.append(found[0])
                 of_words.append(code)
             else:
-                parted.append(parts)
+                parts += found
+                counts.append(len(found))
                 of_parted.append(code)
-        counts = np.fromiter(map(len, parted), np.int64, len(parted))
-        of_parts = table.codes_of(chain.from_iterable(parted), int(counts.sum()))
+        of_parts = table.codes_of(parts)
         more = table.fresh()  # words that are no chunk yet
         of_words += range(len(table.codes) - len(more), len(table.codes))
-        as_letters = [self._letters(word) for word in chain(words, more)]
-        if as_letters:
-            table.put(of_words, self._parted(lambda texts: self.model.encode_batch_fast(texts, add_special_tokens=False), as_letters, f" {MARK_IN_VOCABULARY} "))
+        words += more
+        if words:
+            table.put(of_words, self._parted(lambda texts: self.model.encode_batch_fast(texts, add_special_tokens=False), words, self._as_letters))
         self._learn_others(of_others, others)
         ids, sizes = table.of(of_parts)
-        table.put(of_parted, (ids, _totals(sizes, counts)))
+        table.put(of_parted, (ids, _totals(sizes, np.array(counts, np.int64))))
 
     def _learn_others(self, codes: list[int], chunks: list[str]) -> None:
         """Chunks by the whole of the library.
@@ -221,25 +231,46 @@ class ChunkEncoder:
                 self.chunks.put([code], (ids, np.array([len(ids)], np.int64)))
             else:
                 joined.append((code, chunk))
-        self.chunks.put([code for code, _ in joined], self._parted(whole, [chunk for _, chunk in joined], self.mark))
-
-    def _chunks(self, text: str | None) -> list[str]:
-        """A tokenizer that drops white space needs none in its chunks, and one that drops case no capitals. A text with a
-        special token, which is told by its case, is a chunk whole."""
-        text = text or ""
-        if "<" in text and self.special.search(text):
-            return [text]
+        self.chunks.put([code for code, _ in joined], self._parted(whole, [chunk for _, chunk in joined], self.mark.join))
+
+    def _chunks(self, texts: Sequence[str | None]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The chunks of all texts in a row, and how many each text has.
+
+        A tokenizer that drops white space needs none in its chunks, and one that drops case no capitals (A-Z only). A text
+        with a special token, which is told by its case, is a chunk whole.
+        """
+        whole = [i for i, text in enumerate(texts) if text and "<" in text and self.special.search(text)]
+        parts = [(text or "").encode() for text in texts]
         if self.drops_case:
-            text = text.encode(errors="surrogatepass").lower().decode(errors="surrogatepass")  # A-Z only
-        return text.replace("\n", " ").split(" ") if self.drops_space else CHUNK.findall(text)
+            kept_case = {i: parts[i] for i in whole}
+            parts = [kept_case.get(i) or part.lower() for i, part in enumerate(parts)]
+        bounds = np.concatenate([[0], np.cumsum([len(part) for part in parts], dtype=np.int64)])
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        kinds = KINDS[data]
+        for i in whole:
+            kinds[bounds[i] : bounds[i + 1]] = 0
+        space = kinds == SPACE
+        begins = np.zeros(len(data) + 1, bool)  # of a chunk; with a place for empty texts at the end
+        begins[1:-1] = space[:-1] & ~space[1:] if self.drops_space else ~space[:-1] & space[1:]
+        if self.pattern:
+            begins[1:-1] |= (kinds[:-1] == LETTER) & (kinds[1:] == SIGN)
+        begins[bounds] = True
+        begins = begins[:-1]
+        if self.drops_space:
+            begins &= ~space
+        places = np.flatnonzero(begins)
+        counts = np.diff(np.searchsorted(places, bounds))
+        if self.drops_space:
+            places, data = places - np.cumsum(space)[places], data[~space]
+        ends = np.append(places, len(data))
+        return pa.LargeStringArray.from_buffers(len(places), pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode(), counts
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids start, with the end. A null text is an empty one."""
         if len(self.chunks.codes) > self.max_chunks or self.chunks.chars > self.max_chars:
             self.chunks.clear()
-        chunks = [self._chunks(text) for text in texts]
-        counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        ids, sizes = self.chunks.gather(chain.from_iterable(chunks), int(counts.sum()))
+        chunks, counts = self._chunks(texts)
+        ids, sizes = self.chunks.gather(chunks.dictionary.to_numpy(zero_copy_only=False).tolist(), chunks.indices.to_numpy())
         return ids, np.concatenate([[0], np.cumsum(_totals(sizes, counts))])
 
 

@@ -37,11 +37,11 @@ class WaveletMatrix:
         level = ids.astype(np.uint16 if len(ids) and ids.max() < 1 << 16 else np.uint32)
         planes = []
         for bit in range(int(level.max()).bit_length() if len(level) else 0)[::-1]:
-            mask = (level >> bit) & 1 == 1
+            mask = (level & level.dtype.type(1 << bit)).astype(bool)
             packed = np.zeros(-(-max(len(level), 1) // BLOCK) * (BLOCK // 8), np.uint8)
             packed[: -(-len(level) // 8)] = np.packbits(mask, bitorder="little")
             planes.append(packed.view("<u8"))
-            level = np.concatenate([level[~mask], level[mask]])
+            level = level[np.concatenate([np.flatnonzero(~mask), np.flatnonzero(mask)])]  # places: far quicker than masks
         return cls(len(level), planes)
 
     def _bits(self, plane: int) -> np.ndarray:
@@ -102,8 +102,8 @@ class WaveletMatrix:
         for plane in reversed(range(len(self.words))):
             mask, zeros = self._bits(plane), self.zeros[plane]
             above = np.empty_like(level)
-            above[~mask] = level[:zeros]
-            above[mask] = level[zeros:] | level.dtype.type(1 << (len(self.words) - 1 - plane))
+            above[np.flatnonzero(~mask)] = level[:zeros]
+            above[np.flatnonzero(mask)] = level[zeros:] | level.dtype.type(1 << (len(self.words) - 1 - plane))
             level = above
         return level.astype(np.uint32)
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 from functools import lru_cache
 
@@ -81,6 +82,25 @@ def test_many_words_are_one_text(path):
     assert ids.tolist() == plain(path)(text) and len(seen) == 1 and len(seen[0].split()) < 2 * 15_010
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_a_word_is_learned_once_whatever_signs_follow(path):
+    """Words with 40 endings: what is remembered grows with the words and the endings, not with both."""
+    encoder, words = ChunkEncoder(path), [f"{a}{b}rd" for a in "abcdefghij" for b in "klmnopqrst"]
+    ends = ["".join(pair) for pair in zip("!%&,.:;?" * 5, "*" * 8 + "%" * 8 + "." * 8 + "&" * 8 + "!" * 8)]
+    text = " ".join(["", *(word + end for word in words for end in ends)])
+    ids, _ = encoder.encode([text])
+    assert ids.tolist() == plain(path)(text) and len(encoder.chunks.codes) <= len(words) + len(ends) + 5
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_signs_and_letters_in_any_order(path):
+    r = random.Random(5)
+    texts = ["".join(r.choices("abS'stl!.*_<>|09 \n\t\u0301\u0338é×\u00a0\u3000", k=r.randint(0, 30))) for _ in range(4000)]
+    texts[::97] = [f"{text}<|endoftext|>{text}" for text in texts[::97]]
+    ids, starts = encoder_of(path).encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [plain(path)(text) for text in texts]
+
+
 def test_chunks_are_forgotten_and_learned_again():
     encoder = ChunkEncoder(WORD, max_chunks=2, max_chars=9)
     for text in ("one two three", "four five", "one two six", None, ""):
