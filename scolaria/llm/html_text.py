@@ -30,6 +30,9 @@ RAW = {tag: re.compile(rf"</{tag}\b[^>]*+(?:>|\Z)", re.I) for tag in ("script",
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var math mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mtable mtr mtd semantics".split())
 DROPPED = frozenset("head nav header footer aside form button select option dialog menu object audio video canvas annotation annotation-xml".split())
+#: Of these, what frames a page. Asides and elements dropped for their names hold teasers, quotes and comments too.
+FRAME = frozenset("nav header footer form menu".split())
+FRAME_ROLES = frozenset("navigation banner contentinfo search form menu menubar toolbar".split())
 MAIN = frozenset(("article", "main"))
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 DROPPED_NAMES = frozenset(
@@ -42,6 +45,7 @@ STATE = re.compile(r"(?:^|[^a-z0-9])(?:no|has|with|without|left|right)[^a-z0-9]"
 #: In an article only these elements go by their names: by a whole one, or with an ending that says no more.
 CONTAINERS = frozenset("div section ul ol dl table figure details".split())
 ENDINGS = frozenset("area bar block box buttons container form icons links list section wrapper".split())
+GONE = ("drop", "frame", "named")
 DROPPED_IDS = frozenset("comments disqus respond replies newsletter".split())
 
 
@@ -55,9 +59,10 @@ def _furniture(tag: str, found: dict[str, str], in_main: bool) -> bool:
 
 
 def _kind(tag: str, attributes: str, in_main: bool) -> str:
-    """drop, named (dropped for its class or id), main or nothing: what an element says of what it holds."""
+    """drop, frame (dropped as the page's frame), named (dropped for its class or id), main or nothing: what an element says
+    of what it holds."""
     if tag in DROPPED and not (tag == "header" and in_main):
-        return "drop"
+        return "frame" if tag in FRAME else "drop"
     found = {}
     if attributes.strip():
         for name, *values in ATTRIBUTE.findall(attributes):
@@ -67,34 +72,40 @@ def _kind(tag: str, attributes: str, in_main: bool) -> str:
     if tag in ("body", "html"):
         return ""
     if found.get("role") in DROPPED_ROLES or "hidden" in found:
-        return "drop"
+        return "frame" if found.get("role") in FRAME_ROLES and "hidden" not in found else "drop"
     return "named" if _furniture(tag, found, in_main) else ""
 
 
-
 def blocks_of(page: str | None) -> tuple[list[str], list[str]]:
-    """Blocks of the article, and blocks that no markup calls article or anything else. Empty blocks are left out.
+    """Blocks of the article, and blocks that no markup calls article or anything else: all_blocks without the frame."""
+    return all_blocks(page)[:2]
+
+
+def all_blocks(page: str | None) -> tuple[list[str], list[str], list[str]]:
+    """Blocks of the article, blocks that no markup calls article or anything else, and those of the page's frame: menus,
+    headers, footers and forms outside articles. Empty blocks are left out.
 
     An element dropped for its class or id only stays if the page would else have no article and it holds one.
     """
-    article, loose, around = _read(page, frozenset())
+    article, loose, frame, around = _read(page, frozenset())
     while not article and around:
-        article, loose, more = _read(page, around)
+        article, loose, frame, more = _read(page, around)
         if more <= around:
             break
         around |= more
-    return article, loose
+    return article, loose, frame
 
 
-def _read(page: str | None, kept: frozenset[int]) -> tuple[list[str], list[str], frozenset[int]]:
-    """Article and loose blocks, and the places of named elements around an article. Those at the places kept stay."""
+def _read(page: str | None, kept: frozenset[int]) -> tuple[list[str], list[str], list[str], frozenset[int]]:
+    """all_blocks, and the places of named elements around an article. Those at the places kept stay."""
     page = page or ""
     stack: list[tuple[str, str, int]] = []
     still_open: Counter[str] = Counter()  # of each tag, so that an end tag without a start needs no search
     around: set[int] = set()
-    dropped = main = 0
+    dropped = frames = main = 0  # open elements; dropped ones include frames
     article: list[str] = []
     loose: list[str] = []
+    frame: list[str] = []
     pieces: list[str] = []
     at = 0
 
@@ -102,22 +113,23 @@ def _read(page: str | None, kept: frozenset[int]) -> tuple[list[str], list[str],
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                (article if main else loose).append(text)
+                (frame if dropped else article if main else loose).append(text)
             pieces.clear()
 
     def pop_to(depth: int) -> None:
-        nonlocal dropped, main
+        nonlocal dropped, frames, main
         flush()
         for name, kind, _ in stack[depth:]:
             still_open[name] -= 1
-            dropped -= kind in ("drop", "named")
+            dropped -= kind in GONE
+            frames -= kind == "frame"
             main -= kind == "main"
         del stack[depth:]
 
     while at < len(page):
         token = TOKEN.search(page, at)
         end = token.start() if token else len(page)
-        if end > at and not dropped:
+        if end > at and (not dropped or frames == dropped and not main):
             pieces.append(page[at:end])
         if not token:
             break
@@ -139,12 +151,12 @@ def _read(page: str | None, kept: frozenset[int]) -> tuple[list[str], list[str],
         if tag in VOID:
             if tag == "hr":
                 flush()
-            elif tag == "br" and not dropped:
+            elif tag == "br" and pieces:
                 pieces.append(" ")
             continue
         attributes = token["attributes"]
         if tag in INLINE:
-            if attributes.strip() and _kind(tag, attributes, main > 0) in ("drop", "named"):
+            if attributes.strip() and _kind(tag, attributes, main > 0) in GONE:
                 flush()
                 stack.append((tag, "drop", token.start()))
                 still_open[tag] += 1
@@ -158,15 +170,16 @@ def _read(page: str | None, kept: frozenset[int]) -> tuple[list[str], list[str],
         kind = _kind(tag, attributes, main > 0)
         if kind == "named" and token.start() in kept:
             kind = ""
-        if kind == "main" and not any(k == "drop" for _, k, _ in stack):
+        if kind == "main" and not any(k in ("drop", "frame") for _, k, _ in stack):
             around |= {place for _, k, place in stack if k == "named"}
         if not attributes.rstrip().endswith("/"):
             stack.append((tag, kind, token.start()))
             still_open[tag] += 1
-            dropped += kind in ("drop", "named")
+            dropped += kind in GONE
+            frames += kind == "frame"
             main += kind == "main"
     flush()
-    return article, loose, frozenset(around)
+    return article, loose, frame, frozenset(around)
 
 
 def host_of(url: Column) -> Column:
@@ -174,14 +187,15 @@ def host_of(url: Column) -> Column:
 
 
 def parsed(page: Column) -> Column:
-    """text, decided and loose of a page: the article's blocks, whether there are any, and the blocks beside them."""
+    """text, decided, loose and frame of a page: the article's blocks, whether there are any, and the blocks beside them."""
 
-    @F.pandas_udf("struct<text:string,decided:boolean,loose:array<string>>")
-    def both(pages: pd.Series) -> pd.DataFrame:
-        read = [blocks_of(page) for page in pages]
-        return pd.DataFrame({"text": ["\n".join(article) for article, _ in read], "decided": [bool(article) for article, _ in read], "loose": [loose for _, loose in read]})
+    @F.pandas_udf("struct<text:string,decided:boolean,loose:array<string>,frame:array<string>>")
+    def all_of(pages: pd.Series) -> pd.DataFrame:
+        read = [all_blocks(page) for page in pages]
+        texts = ["\n".join(article) for article, _, _ in read]
+        return pd.DataFrame({"text": texts, "decided": [bool(article) for article, _, _ in read], "loose": [loose for _, loose, _ in read], "frame": [frame for *_, frame in read]})
 
-    return both(page)
+    return all_of(page)
 
 
 def unique_runs(blocks: Sequence[str], repeats: Sequence[tuple[int, int]]) -> str:
@@ -203,19 +217,19 @@ def token_stream(blocks: str) -> Column:
     return F.concat(edge, F.flatten(F.transform(blocks, lambda block: F.concat(F.split(block, " "), edge))))
 
 
-def suffix_array(loose: DataFrame, depth: int) -> DataFrame:
-    """host, row, place, content, suffix, at and lcp: the sorted suffixes of the token streams of every host's pages.
+def suffix_array(loose: DataFrame, depth: int, *more: str) -> DataFrame:
+    """host, row, place, suffix, at and lcp: the sorted suffixes of the token streams of every host's pages.
 
-    loose has row, host, loose (blocks). A suffix is a place in a page's stream with the depth tokens from there on; at
+    loose has row, host, loose (blocks), and more columns that its suffixes keep. A suffix is a place in a page's stream with the depth tokens from there on; at
     numbers them in the order of hosts and suffixes, and lcp counts the tokens a suffix shares with the one before it on
-    its host. Pages of the same blocks are one content. The suffixes are sorted by ranges, equal ones by page and place,
+    its host. The suffixes are sorted by ranges, equal ones by page and place,
     so neither a large host nor a common phrase lies in one task; the neighbour of a range's first suffix is the last one
     of the range before, of which there is one row for each range.
     """
-    streams = loose.select("row", "host", F.md5(F.array_join("loose", "\n")).alias("content"), token_stream("loose").alias("tokens"))
+    streams = loose.select("row", "host", *more, token_stream("loose").alias("tokens"))
     every = F.transform(F.sequence(F.lit(1), F.size("tokens") - 1), lambda i: F.slice("tokens", i, depth))
     order = ["host", "suffix", "row", "place"]
-    suffixes = streams.select("row", "host", "content", F.posexplode_outer(every).alias("place", "suffix"))
+    suffixes = streams.select("row", "host", *more, F.posexplode_outer(every).alias("place", "suffix"))
     in_order = written(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()))
     in_order = in_order.withColumn("part", F.shiftright("at", 33))
     here = F.struct("host", "suffix")
@@ -226,12 +240,15 @@ def suffix_array(loose: DataFrame, depth: int) -> DataFrame:
     same = F.zip_with("before.suffix", "suffix", lambda a, b: a.eqNullSafe(b))
     shared = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, F.size("suffix")).cast("int")
     lcp = F.when(F.col("before.host") == F.col("host"), shared).otherwise(0)
-    return met.select("host", "row", "place", "content", "suffix", "at", "part", lcp.alias("lcp"))
+    return met.select("host", "row", "place", *more, "suffix", "at", "part", lcp.alias("lcp"))
 
 
 def repeats_of(array: DataFrame, min_repeat: int = MIN_REPEAT, min_pages: int = MIN_PAGES, min_pages_of_block: int = MIN_PAGES_OF_BLOCK) -> DataFrame:
     """row, repeats (place, length): where pages have what other contents of their host have too.
 
+    array is that of main_text. A whole short block that the frames of other pages have is none: a heading may be the name
+    of a menu's link.
+
     A suffix's head is its first min_repeat tokens, or the whole block that it starts with, if that is shorter. Suffixes
     of one head are neighbours, each of which shares its head with the one before; a run of them with min_pages contents
     or more (a short block's: min_pages_of_block) is a repeat. A longer repeat is a row of such heads. Runs are numbered
@@ -246,10 +263,11 @@ def repeats_of(array: DataFrame, min_repeat: int = MIN_REPEAT, min_pages: int =
     carried = parts.select("part", F.last("latest", True).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
     earlier = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = F.coalesce(F.max("begins").over(earlier), "carried")
-    runs = written(begun.join(F.broadcast(carried), "part").select("row", "place", "content", "head", run.alias("run")))
+    numbered = begun.join(F.broadcast(carried), "part").select("row", "place", "content", "framed", "head", run.alias("run"))
+    runs = written(numbered.where(~F.col("framed") | (F.col("head") >= min_repeat)))
     pages = runs.groupBy("run").agg(F.min("head").alias("length"), F.count_distinct("content").alias("pages"))
     found = written(pages.where(F.col("pages") >= F.when(F.col("length") < min_repeat, min_pages_of_block).otherwise(min_pages)).select("run"))
-    return runs.join(found, "run").groupBy("row").agg(F.collect_set(F.struct("place", F.col("head").alias("length"))).alias("repeats"))
+    return runs.where(~F.col("framed")).join(found, "run").groupBy("row").agg(F.collect_set(F.struct("place", F.col("head").alias("length"))).alias("repeats"))
 
 
 def main_text(pages: DataFrame, min_repeat: int = MIN_REPEAT) -> DataFrame:
@@ -259,7 +277,8 @@ def main_text(pages: DataFrame, min_repeat: int = MIN_REPEAT) -> DataFrame:
     notices and comments that lie in it; nothing else in it is dropped, whether it repeats or not. A page without such
     an element gives its other blocks, less those marked as page furniture and less what the suffix array of its host
     shows to stand on other pages too (repeats_of); its unique runs stay. The array holds the blocks outside articles of
-    all pages of a host that has such a page.
+    all pages of all hosts, those of menus, headers, footers and forms included: what one page marks as its frame, another
+    may leave unmarked. A page's content is its blocks outside article and frame, so copies of a page are one content.
 
     A null or empty page gives an empty text; a page cut off in the middle is read as far as it goes; a url without a
     host, or null, belongs to the host "". Pages of the same blocks are one page to each other; a very long page is a
@@ -274,9 +293,11 @@ def main_text(pages: DataFrame, min_repeat: int = MIN_REPEAT) -> DataFrame:
     rows = pages.select("page_id", "url", row_key(F.col("page_id"), F.col("html")).alias("row"), host_of(F.col("url")).alias("host"), parsed(F.coalesce("html", F.lit(""))).alias("parsed"))
     rows = written(rows.select("page_id", "url", "row", "host", "parsed.*"))
     open_pages = (~F.col("decided")) & (F.size("loose") > 0)
-    hosts = written(rows.where(open_pages).select("host").distinct())
-    evidence = rows.where(F.size("loose") > 0).join(hosts, "host", "left_semi").dropDuplicates(["host", "row"])
-    covered = repeats_of(suffix_array(evidence, 2 * min_repeat), min_repeat)
+    content = F.md5(F.array_join("loose", "\n")).alias("content")
+    loose = rows.select("row", "host", "loose", content, F.lit(False).alias("framed")).dropDuplicates(["host", "row"])
+    frames = rows.select(F.lit(None).cast("binary").alias("row"), "host", F.col("frame").alias("loose"), content, F.lit(True).alias("framed")).distinct()
+    evidence = loose.unionByName(frames).where(F.size("loose") > 0)
+    covered = repeats_of(suffix_array(evidence, 2 * min_repeat, "content", "framed"), min_repeat)
     found = rows.where(open_pages).join(covered, "row", "left").select("page_id", "url", runs("loose", "repeats").alias("text"))
     text = rows.where(~open_pages).select("page_id", "url", "text").unionByName(found)
     return text.withColumn("n_chars", F.length("text").cast("long"))

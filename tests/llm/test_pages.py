@@ -6,7 +6,7 @@ import time
 import pytest
 
 from scolaria.llm import language_id as lid
-from scolaria.llm.html_text import blocks_of, main_text, suffix_array, unique_runs
+from scolaria.llm.html_text import all_blocks, blocks_of, main_text, suffix_array, unique_runs
 
 ARTICLE = (
     "<!DOCTYPE html><html lang=en><head><title>T &amp; t</title><script>var a='</p><article>';</script><style>p{}</style></head>"
@@ -140,6 +140,23 @@ def test_the_array_alone_decides(spark):
     assert menus["a.com"][4] not in " ".join(texts.values()) and all(texts[i] for i in texts)
 
 
+def test_frames_of_other_pages_are_evidence(spark):
+    """A page without any telling markup: its menu and notice stand in the frames of pages with an article."""
+    menu, legal, lead = (" ".join(f"{name}{i}" for i in range(12)) for name in ("menu", "legal", "lead"))
+    links = "".join(f"<li><a href=/{i}>{name}</a>" for i, name in enumerate(("Home", "About us", "Shop", "Blog", "Jobs")))
+    frame = f"<nav><ul>{links}</ul><p>{menu}</nav><aside>{lead}</aside><div class=comments>{lead}</div>"
+    marked = [(i, f"http://a.com/{i}", f"<body>{frame}<article><p>own {i}</p></article><footer>{legal}</footer>") for i in range(4)]
+    plain = f"<div>{menu}</div><h1>About us</h1><p>{lead}</p><ul>{links}</ul><p>{legal}</p>"
+    pages = [*marked, (8, "http://a.com/8", plain), (9, "http://b.com/9", plain), (10, "http://c.com/10", f"<nav>{menu}</nav><p>{menu}</p>")]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {**{i: f"own {i}" for i in range(4)}, 8: f"About us\n{lead}", 9: "\n".join([menu, "About us", lead, "Home", "About us", "Shop", "Blog", "Jobs", legal]), 10: menu}
+
+
+def test_blocks_of_the_frame():
+    page = "<header>Site<br>name</header><nav><ul><li>a<li><b>b</b> c</ul><div class=ad>ad</div><article>teaser</article></nav>" + ARTICLE
+    assert all_blocks(page)[2] == ["Site name", "a", "b c", "Site", "Home", "About", "© me"]
+
+
 def test_suffixes_are_sorted_with_their_common_prefixes(spark):
     r = random.Random(3)
     loose = [(f"p{i}", r.choice("xy"), [" ".join(r.choices("abc", k=r.randint(1, 6))) for _ in range(r.randint(1, 4))]) for i in range(40)]
