@@ -246,8 +246,8 @@ def suffix_array(loose: DataFrame, depth: int, *more: str) -> DataFrame:
 def repeats_of(array: DataFrame, min_repeat: int = MIN_REPEAT, min_pages: int = MIN_PAGES, min_pages_of_block: int = MIN_PAGES_OF_BLOCK) -> DataFrame:
     """row, repeats (place, length): where pages have what other contents of their host have too.
 
-    array is that of main_text. A whole short block that the frames of other pages have is none: a heading may be the name
-    of a menu's link.
+    array is that of main_text. Of the frames of other pages only rows of short blocks tell, like the links of a menu: with
+    two whole blocks in a head. A heading may be the name of one link, and a footer may quote a sentence of an article.
 
     A suffix's head is its first min_repeat tokens, or the whole block that it starts with, if that is shorter. Suffixes
     of one head are neighbours, each of which shares its head with the one before; a run of them with min_pages contents
@@ -263,8 +263,9 @@ def repeats_of(array: DataFrame, min_repeat: int = MIN_REPEAT, min_pages: int =
     carried = parts.select("part", F.last("latest", True).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
     earlier = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = F.coalesce(F.max("begins").over(earlier), "carried")
-    numbered = begun.join(F.broadcast(carried), "part").select("row", "place", "content", "framed", "head", run.alias("run"))
-    runs = written(numbered.where(~F.col("framed") | (F.col("head") >= min_repeat)))
+    in_rows = (F.col("head") >= min_repeat) & (F.size(F.filter(F.slice("suffix", 1, F.col("head")), lambda token: token == EDGE)) >= 3)
+    numbered = begun.join(F.broadcast(carried), "part").withColumn("run", run)
+    runs = written(numbered.where(~F.col("framed") | in_rows).select("row", "place", "content", "framed", "head", "run"))
     pages = runs.groupBy("run").agg(F.min("head").alias("length"), F.count_distinct("content").alias("pages"))
     found = written(pages.where(F.col("pages") >= F.when(F.col("length") < min_repeat, min_pages_of_block).otherwise(min_pages)).select("run"))
     return runs.where(~F.col("framed")).join(found, "run").groupBy("row").agg(F.collect_set(F.struct("place", F.col("head").alias("length"))).alias("repeats"))
@@ -277,8 +278,8 @@ def main_text(pages: DataFrame, min_repeat: int = MIN_REPEAT) -> DataFrame:
     notices and comments that lie in it; nothing else in it is dropped, whether it repeats or not. A page without such
     an element gives its other blocks, less those marked as page furniture and less what the suffix array of its host
     shows to stand on other pages too (repeats_of); its unique runs stay. The array holds the blocks outside articles of
-    all pages of all hosts, those of menus, headers, footers and forms included: what one page marks as its frame, another
-    may leave unmarked. A page's content is its blocks outside article and frame, so copies of a page are one content.
+    all pages of all hosts, those of menus, headers, footers and forms included: a menu that one page marks, another may
+    leave unmarked. A page's content is its blocks outside article and frame, so copies of a page are one content.
 
     A null or empty page gives an empty text; a page cut off in the middle is read as far as it goes; a url without a
     host, or null, belongs to the host "". Pages of the same blocks are one page to each other; a very long page is a

@@ -141,7 +141,8 @@ def test_the_array_alone_decides(spark):
 
 
 def test_frames_of_other_pages_are_evidence(spark):
-    """A page without any telling markup: its menu and notice stand in the frames of pages with an article."""
+    """A page without any telling markup: its links stand in the menus of pages with an article. Single blocks of frames, which
+    may quote an article, take nothing out of it."""
     menu, legal, lead = (" ".join(f"{name}{i}" for i in range(12)) for name in ("menu", "legal", "lead"))
     links = "".join(f"<li><a href=/{i}>{name}</a>" for i, name in enumerate(("Home", "About us", "Shop", "Blog", "Jobs")))
     frame = f"<nav><ul>{links}</ul><p>{menu}</nav><aside>{lead}</aside><div class=comments>{lead}</div>"
@@ -149,7 +150,7 @@ def test_frames_of_other_pages_are_evidence(spark):
     plain = f"<div>{menu}</div><h1>About us</h1><p>{lead}</p><ul>{links}</ul><p>{legal}</p>"
     pages = [*marked, (8, "http://a.com/8", plain), (9, "http://b.com/9", plain), (10, "http://c.com/10", f"<nav>{menu}</nav><p>{menu}</p>")]
     got = {r.page_id: r.text for r in main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
-    assert got == {**{i: f"own {i}" for i in range(4)}, 8: f"About us\n{lead}", 9: "\n".join([menu, "About us", lead, "Home", "About us", "Shop", "Blog", "Jobs", legal]), 10: menu}
+    assert got == {**{i: f"own {i}" for i in range(4)}, 8: f"{menu}\nAbout us\n{lead}\n{legal}", 9: "\n".join([menu, "About us", lead, "Home", "About us", "Shop", "Blog", "Jobs", legal]), 10: menu}
 
 
 def test_blocks_of_the_frame():
